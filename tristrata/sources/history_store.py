@@ -16,7 +16,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from tristrata.operators.history import (
     IS_CURRENT,
@@ -37,20 +36,19 @@ def run_id(run_ts: datetime) -> str:
     return run_ts.strftime("%Y%m%dT%H%M%S%f")
 
 
-def _ledger(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LEDGER).json(f"{base}/ledger")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _ledger(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(LEDGER).json(f"{base}/ledger")
+
+
+def _ledger_line(spark: SparkSession, values: dict[str, object]) -> DataFrame:
+    fields = T.StructType.fromDDL(LEDGER)
+    columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).select(*columns)
 
 
 def latest_run(spark: SparkSession, base: str, before: str | None = None) -> str | None:
     """Id of the newest finished run, optionally of those before another."""
     ledger = _ledger(spark, base)
-    if ledger is None:
-        return None
     if before is not None:
         ledger = ledger.where(F.col(RUN) < before)
     return ledger.agg(F.max(RUN)).first()[0]
@@ -96,6 +94,8 @@ def record_snapshot(
     """
     spark = source.sparkSession
     run = run_id(run_ts)
+    # Start an empty ledger on the first run; later this does nothing.
+    _ledger_line(spark, {}).limit(0).write.mode("ignore").json(f"{base}/ledger")
     previous = latest_run(spark, base, before=run)
     blank = empty_history(source, keys, check_cols, carried)
     if previous is None:
@@ -114,6 +114,5 @@ def record_snapshot(
         F.count_if(is_open).alias("open_versions"),
     ).write.mode("overwrite").partitionBy(IS_CURRENT).parquet(f"{base}/versions/{RUN}={run}")
 
-    line = (run, counts.get["opened"], counts.get["closed"], counts.get["open_versions"])
-    spark.createDataFrame([line], LEDGER).coalesce(1).write.mode("append").json(f"{base}/ledger")
-    return dict(zip(["opened", "closed", "open_versions"], line[1:], strict=True))
+    _ledger_line(spark, {RUN: run, **counts.get}).write.mode("append").json(f"{base}/ledger")
+    return counts.get

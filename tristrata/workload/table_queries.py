@@ -35,7 +35,7 @@ from tristrata.sources import (
     reload_silver,
 )
 from tristrata.sources.landing import NULL_TOKENS
-from tristrata.sources.sinks import INGEST_DAY, WriteLayout
+from tristrata.sources.sinks import INGEST_DAY
 from tristrata.streaming import raw_stream, silver_stream, stream_to_silver
 from tristrata.workload import duck, gold_sql
 from tristrata.workload.gold_queries import doctor_history, patient_history, session_time
@@ -145,9 +145,9 @@ def bronze_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _export_csv(raw(spark, sf_dir, "appointment"), f"{folder}/raw/2024/appointments")
     raw(spark, sf_dir, "doctors").write.json(f"{folder}/raw/doctors")
     raw(spark, sf_dir, "treatments").write.parquet(f"{folder}/raw/deep/er/treatments")
-    # Text files that claim to be Parquet: this entity fails, the others land.
-    broken = raw(spark, sf_dir, "lab_results").select("lab_result_id")
-    broken.coalesce(1).write.option("parquet.name", "x").text(f"{folder}/raw/lab_results.avro_")
+    # No reader knows this format: the entity fails, the others still land.
+    unreadable = raw(spark, sf_dir, "lab_results").select("lab_result_id")
+    unreadable.coalesce(1).write.text(f"{folder}/raw/lab_results")
     entities = [c.raw for c in SILVER.values()]
     report = land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, entities)
     return report.select("entity", "status", "rows")
@@ -187,23 +187,21 @@ def bronze_read_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- silver tables ----------------------------------------------------------
 
-_FEES = "fee_id, appointment_id, patient_id, service_type, description, fee_date, phone"
-
-
 @query(
     "silver_append",
-    with_views(
-        f"""SELECT {_FEES}, CAST(fee_date AS DATE) AS ingest_day, load FROM hospital_fee
-CROSS JOIN (VALUES (1), (2)) AS loads(load)""",
-        "hospital_fee",
-    ),
+    f"""SELECT *, CAST(ingest_day AS VARCHAR) AS ingested_on
+FROM ({conform_sql("hospital_fee")}) CROSS JOIN (VALUES (DATE '2024-01-01'), (DATE '2024-01-02'))
+  AS runs(ingest_day)""",
 )
 def silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = f"{fresh_folder(spark, 'silver-append')}/hospital_fee"
-    fees = silver(spark, sf_dir, "hospital_fee")
-    for load in (1, 2):
-        append_silver(fees.withColumn("load", F.lit(load)), target, WriteLayout(rebalance=True))
-    return spark.read.parquet(target).select(*_FEES.split(", "), INGEST_DAY, "load")
+    rows = raw(spark, sf_dir, "hospital_fee")
+    for text in LOAD_TIMES[:2]:
+        load = conform(rows, SILVER["hospital_fee"], session_time(spark, text))
+        append_silver(load, target)
+    ingested_on = F.col("ingested_at").cast("date").cast("string").alias("ingested_on")
+    stored = spark.read.parquet(target)
+    return stored.select(*SILVER["hospital_fee"].target_columns, INGEST_DAY, ingested_on)
 
 
 @query(
@@ -462,8 +460,8 @@ _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, val
 @query(
     "stream_silver_events",
     with_views(
-        f"SELECT vital_id, patient_id, measurement_date, CAST(temperature AS FLOAT) AS temperature "
-        f"FROM (SELECT * FROM vital_signs)",
+        "SELECT vital_id, patient_id, measurement_date, CAST(temperature AS FLOAT) AS temperature "
+        "FROM vital_signs",
         "vital_signs",
     ),
 )
