@@ -1,10 +1,10 @@
 """DataFrame-to-DataFrame operators, independent of any particular table."""
 
 from tristrata.operators.calendar import calendar, calendar_covering
-from tristrata.operators.combos import conformed_combinations, non_null_value_per_key
+from tristrata.operators.combos import conformed_combinations, smallest_value_per_key
 from tristrata.operators.conform import Contract, conform, pack_and_expand
 from tristrata.operators.history import apply_snapshot, as_of_join, version_dimension
-from tristrata.operators.latest import latest_per_key
+from tristrata.operators.latest import first_per_key, latest_per_key
 from tristrata.operators.star import measure_by_dimension, star_join
 
 __all__ = [
@@ -15,10 +15,11 @@ __all__ = [
     "calendar_covering",
     "conform",
     "conformed_combinations",
+    "first_per_key",
     "latest_per_key",
     "measure_by_dimension",
-    "non_null_value_per_key",
     "pack_and_expand",
+    "smallest_value_per_key",
     "star_join",
     "version_dimension",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.functions import blank_to_null, normalize
+from tristrata.operators.latest import first_per_key
 
 
 def conformed_combinations(
@@ -26,11 +27,12 @@ def conformed_combinations(
     return df.select(*[t.alias(c) for t, c in zip(tidy, columns, strict=True)]).distinct()
 
 
-def non_null_value_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """One row per key with its smallest non-NULL value.
+def smallest_value_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One row per key with its smallest non-NULL value, NULL if it has none.
 
     The smallest rather than the first value seen, which would change with the
-    row order. A text minimum needs sorted input, so duplicates are removed by
-    a hash aggregate first and the sort only sees distinct pairs.
+    row order. A text minimum as an aggregate would sort every input row; here
+    a hash aggregate leaves the distinct pairs and only those are ranked.
     """
-    return df.select(*keys, value).distinct().groupBy(*keys).agg(F.min(value).alias(value))
+    pairs = df.select(*keys, value).distinct()
+    return first_per_key(pairs, keys, [F.col(value).asc_nulls_last()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -21,8 +21,42 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def _same(columns: Sequence[str]) -> Column:
-    return _all([F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in columns])
+def _merge(
+    open_rows: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    check_cols: Sequence[str],
+    carried: Sequence[str],
+    now: Column,
+    same_key: Callable[[Column, Column], Column],
+) -> DataFrame:
+    values = [*check_cols, *carried]
+    old = open_rows.select(
+        *[F.col(k).alias(f"old_{k}") for k in keys],
+        F.struct(*values, VALID_FROM).alias("old"),
+    )
+    new = source.select(*[F.col(k).alias(f"new_{k}") for k in keys], F.struct(*values).alias("new"))
+    joined = old.join(
+        new, _all([same_key(F.col(f"old_{k}"), F.col(f"new_{k}")) for k in keys]), "full_outer"
+    )
+
+    def version(side: str, valid_from: Column, valid_to: Column) -> Column:
+        return F.struct(
+            *[F.col(f"{side}_{k}").alias(k) for k in keys],
+            *[F.col(f"{side}.{c}").alias(c) for c in values],
+            valid_from.alias(VALID_FROM),
+            valid_to.alias(VALID_TO),
+        )
+
+    never = F.lit(None).cast("timestamp")
+    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    unchanged = _all([F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check_cols])
+    changed = has_old & has_new & ~unchanged
+    kept_or_closed = F.when(
+        has_old, version("old", F.col(f"old.{VALID_FROM}"), F.when(changed, now).otherwise(never))
+    )
+    opened = F.when(has_new & (~has_old | changed), version("new", now, never))
+    return joined.select(F.inline(F.array_compact(F.array(kept_or_closed, opened))))
 
 
 def merge_open_versions(
@@ -38,31 +72,20 @@ def merge_open_versions(
     Both inputs hold at most one row per key, so the join cannot be skewed and
     yields each key once. It is one full outer join; every joined row then
     unfolds into the version it keeps or closes and the version it opens, so
-    the join is not computed twice.
+    the join is not computed twice. A source that comes from ``latest_per_key``
+    is already partitioned by key and is not shuffled again.
+
+    A NULL key is an entity like any other. It is merged apart, since a
+    null-safe comparison would cost the join that partitioning; the filters on
+    the key reach the files of both inputs.
     """
-    business = [*keys, *check_cols, *carried]
     now = run_stamp(run_ts).cast("timestamp")
-    never = F.lit(None).cast("timestamp")
-
-    def version(side: str, valid_from: Column, valid_to: Column) -> Column:
-        return F.struct(
-            *[F.col(f"{side}.{c}").alias(c) for c in business],
-            valid_from.alias(VALID_FROM),
-            valid_to.alias(VALID_TO),
-        )
-
-    old = open_rows.select(F.struct(*business, VALID_FROM).alias("old"))
-    new = source.select(F.struct(*business).alias("new"))
-    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
-    changed = has_old & has_new & ~_same(check_cols)
-    opened = has_new & (~has_old | changed)
-
-    kept_or_closed = F.when(
-        has_old, version("old", F.col(f"old.{VALID_FROM}"), F.when(changed, now).otherwise(never))
-    )
-    fresh = F.when(opened, version("new", now, never))
-    joined = old.join(new, _same(keys), "full_outer")
-    return joined.select(F.inline(F.array_compact(F.array(kept_or_closed, fresh))))
+    keyed = _all([F.col(k).isNotNull() for k in keys])
+    parts = [
+        _merge(open_rows.where(c), source.where(c), keys, check_cols, carried, now, same)
+        for c, same in ((keyed, Column.__eq__), (~keyed, Column.eqNullSafe))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def empty_history(

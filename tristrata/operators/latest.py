@@ -5,12 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__latest_rank"
 
 
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Keep the row of every key that comes first in the given order.
+
+    The rank is compared with 1 directly above the window, which lets Catalyst
+    cut each map partition down to one row per key before the shuffle. A key
+    that holds a third of the rows then sends one row per map task, and no
+    reducer ever sees the whole group.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn(_RANK, F.row_number().over(window))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,11 +40,7 @@ def latest_per_key(
     each other and all of them are kept, in a second scan whose filter on
     missing keys is pushed down to the file statistics.
 
-    The rank is compared with 1 directly above the window, which lets Catalyst
-    cut each map partition down to one row per key before the shuffle. A key
-    that holds a third of the log then sends one row per map task, and no
-    reducer ever sees the whole group. Select the columns you need first: they
-    are what gets sorted and shuffled.
+    Select the columns you need first: they are what gets sorted and shuffled.
     """
     if keep_unkeyed:
         keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -39,7 +48,4 @@ def latest_per_key(
         return kept.unionByName(df.where(~keyed))
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c not in order_by]
-    order = [F.col(c).desc_nulls_last() for c in [*order_by, *tie_break]]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in [*order_by, *tie_break]])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tristrata.functions import nk_concat, sk, sk_concat, try_date
 from tristrata.operators.calendar import FIRST_DAY, LAST_DAY, calendar
-from tristrata.operators.combos import conformed_combinations, non_null_value_per_key
+from tristrata.operators.combos import conformed_combinations, smallest_value_per_key
 from tristrata.operators.conform import LOADED_AT, run_stamp
 from tristrata.operators.history import version_dimension
 from tristrata.operators.latest import latest_per_key
@@ -64,7 +64,7 @@ def dim_doctor(doctors: DataFrame) -> DataFrame:
 
 def dim_disease(diseases: DataFrame) -> DataFrame:
     """One row per disease with a name, if any row has one."""
-    named = non_null_value_per_key(diseases, ["disease_id"], "disease_name")
+    named = smallest_value_per_key(diseases, ["disease_id"], "disease_name")
     return named.select(
         sk("disease_id").alias("disease_sk"), F.col("disease_id").alias("disease_nk"), "disease_name"
     )
@@ -105,7 +105,7 @@ def dim_test(lab_results: DataFrame, parity: bool = False) -> DataFrame:
     columns = [*key, "normal_range"]
     rows = conformed_combinations(lab_results, columns, merge_blank=not parity)
     if not parity:
-        rows = rows.groupBy(*key).agg(F.min("normal_range").alias("normal_range"))
+        rows = smallest_value_per_key(rows, key, "normal_range")
     return _composite(rows, "test", key, columns)
 
 
