@@ -20,6 +20,11 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Readers by file extension. Files of any other kind are kept as they are, one
+# row with path, time, length and content per file.
+READERS = {"csv": "csv", "json": "json", "orc": "orc", "parquet": "parquet", "txt": "text"}
+OPAQUE = "binaryFile"
+
 REPORT = "entity string, format string, status string, rows long, bad_rows long, error string"
 
 
@@ -64,10 +69,11 @@ def read_raw_csv(
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], fmt: str, **kwargs) -> DataFrame:
-    """Raw rows of any file format Spark reads; CSV as in ``read_raw_csv``."""
+    """Raw rows of files with the given extension; CSV as in ``read_raw_csv``."""
     if fmt == "csv":
         return read_raw_csv(spark, path, **kwargs)
-    return spark.read.format(fmt).load(path if isinstance(path, str) else list(path))
+    reader = spark.read.format(READERS.get(fmt, OPAQUE))
+    return reader.load(path if isinstance(path, str) else list(path))
 
 
 def discover(spark: SparkSession, root: str, entities: Sequence[str] = ()) -> DataFrame:

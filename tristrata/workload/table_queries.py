@@ -145,9 +145,10 @@ def bronze_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _export_csv(raw(spark, sf_dir, "appointment"), f"{folder}/raw/2024/appointments")
     raw(spark, sf_dir, "doctors").write.json(f"{folder}/raw/doctors")
     raw(spark, sf_dir, "treatments").write.parquet(f"{folder}/raw/deep/er/treatments")
-    # No reader knows this format: the entity fails, the others still land.
-    unreadable = raw(spark, sf_dir, "lab_results").select("lab_result_id")
-    unreadable.coalesce(1).write.text(f"{folder}/raw/lab_results")
+    # Files of one entity whose headers disagree: it fails, the others still land.
+    lab = raw(spark, sf_dir, "lab_results")
+    _export_csv(lab.select("lab_result_id", "value"), f"{folder}/raw/lab_results")
+    _export_csv(lab.select("value", "lab_result_id"), f"{folder}/raw/lab_results_more")
     entities = [c.raw for c in SILVER.values()]
     report = land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, entities)
     return report.select("entity", "status", "rows")
