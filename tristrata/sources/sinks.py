@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tristrata.operators.conform import LOADED_AT
 
 INGEST_DAY = "ingest_day"
+OVERWRITE_MODE = "partitionOverwriteMode"
 
 
 @dataclass(frozen=True)
@@ -73,12 +74,15 @@ def stored_schema(schema: T.StructType) -> T.StructType:
 def ensure_table(
     spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
 ) -> None:
-    """Create a Parquet table with a fixed schema, partitioned by load day."""
+    """Create a Parquet table with a fixed schema, partitioned by load day.
+
+    An overwrite of the table replaces the load days it writes and no others.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored_schema(schema))
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({INGEST_DAY}){where}"
+        f"OPTIONS ('{OVERWRITE_MODE}' = 'dynamic') PARTITIONED BY ({INGEST_DAY}){where}"
     )
 
 
@@ -90,6 +94,16 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
+def _require_dynamic(spark: SparkSession, table: str) -> None:
+    # An insert takes the mode from the table or the session, not from the
+    # writer; in static mode it would empty the whole table.
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    stored = described.where(F.col("data_type").contains(f"{OVERWRITE_MODE}=dynamic"))
+    mode = spark.conf.get(f"spark.sql.sources.{OVERWRITE_MODE}")
+    if mode.lower() != "dynamic" and stored.isEmpty():
+        raise ValueError(f"{table} was not made by ensure_table: a reload would empty it")
+
+
 def _write_days(df: DataFrame, target: str, layout: WriteLayout | None, replace: bool) -> None:
     layout = layout or WriteLayout()
     df = layout.arrange(with_load_day(df))
@@ -99,11 +113,11 @@ def _write_days(df: DataFrame, target: str, layout: WriteLayout | None, replace:
         df = df.select(*df.sparkSession.table(target).columns)
         writer = df.write
     writer = layout.apply(writer)
-    if replace:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
-        writer.parquet(target)
+        writer.option(OVERWRITE_MODE, "dynamic").parquet(target)
     else:
+        if replace:
+            _require_dynamic(df.sparkSession, target)
         writer.insertInto(target, overwrite=replace)
 
 
