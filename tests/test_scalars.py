@@ -130,11 +130,22 @@ def test_try_date(spark, ansi, text, day):
 
 @pytest.mark.parametrize(
     ("value", "number"),
-    [("5.0", 5), (" 7 ", 7), ("abc", None), (1e12, None), ("", None), (5.7, 5), ("-3.9", -3)],
+    [("5.0", 5), (" 7 ", 7), ("abc", None), (1e12, None), ("", None), (5.7, 5), ("-3.9", -3),
+     ("5d", None), ("1e3", 1000), ("NaN", None), ("\t8\n", 8), ("3000000000", None), ("+4.", 4)],
 )
 def test_safe_int(spark, ansi, value, number):
     assert one(spark, fx.safe_int(F.lit(value))) == number
 
 
+@pytest.mark.parametrize("text", ["1.5", " 2 ", "-.5", "1e-3", "x", "", "1.2.3", "Infinity", "5d", "--1", "1e", "0x1p3"])
+def test_safe_float_equals_try_cast(spark, text):
+    assert one(spark, fx.safe_cast(F.lit(text), "double")) == one(spark, F.lit(text).try_cast("double"))
+
+
+def test_bad_numbers_raise_nothing_inside(spark):
+    bad = spark.range(300_000).select(F.concat(F.lit("n/a "), F.col("id").cast("string")).alias("x"))
+    assert bad.where(fx.safe_int("x").isNotNull() | fx.safe_cast("x", "float").isNotNull()).count() == 0
+
+
 def test_normalize_keeps_tabs(spark):
     assert one(spark, fx.normalize(F.lit("  A\t "))) == "a\t"

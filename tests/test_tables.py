@@ -141,6 +141,16 @@ def test_conform_gives_the_contract(spark, table):
     assert rows.select("ingested_at").distinct().count() == 1
 
 
+def test_conform_narrows_typed_columns(spark):
+    raw = spark.createDataFrame(
+        [(5.7, 2**40, 3, date(2024, 1, 1)), (float("nan"), 9, None, None)],
+        "treatment_id double, patient_id long, doctor_id int, treatment_date date",
+    ).selectExpr("*", "'x' AS disease_id", "1 AS treatment_description")
+    first, second = conform(raw, SILVER["treatments"]).drop("ingested_at").collect()
+    assert tuple(first) == (5, None, 3, None, "1", "2024-01-01")
+    assert tuple(second) == (None, 9, None, None, "1", None)
+
+
 def test_conform_defaults_and_prunes(spark, tmp_path):
     contract = SILVER["lab_results"]
     cells = {c: None for c in contract.raw_columns}

@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 NOT_NUMERIC = r"[^0-9.\-]"
 CLOCK = r"^([01][0-9]|2[0-3]):[0-5][0-9]\z"
 
+# Shapes of text that a cast to a number accepts. A failed try_cast costs an
+# exception per row, some ten times the cast itself, so the shape is tested
+# first; try_cast remains for what the shape cannot tell, such as the range.
+_DIGITS = r"([0-9]+\.?[0-9]*|\.[0-9]+)"
+PLAIN_NUMBER = rf"^-?{_DIGITS}\z"
+WHOLE_OR_DECIMAL = rf"^\s*[+-]?{_DIGITS}([eE][+-]?[0-9]+)?\s*\z"
+_HEXADECIMAL = r"0x[0-9a-f.]+p[+-]?[0-9]+"
+FLOATING = (
+    rf"(?i)^\s*([+-]?({_DIGITS}(e[+-]?[0-9]+)?|{_HEXADECIMAL})[df]?|[+-]?inf(inity)?|nan)\s*\z"
+)
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -35,19 +46,23 @@ def extract_number(c: Column | str) -> Column:
     ``5.4 mmol/L`` gives 5.4 and ``1,200`` gives 1200; a text whose leftovers
     are no number (``3.5-5.0``, ``Negative``) gives NULL.
     """
-    return F.regexp_replace(_col(c), NOT_NUMERIC, "").try_cast("double")
+    left = F.regexp_replace(_col(c), NOT_NUMERIC, "")
+    return F.when(left.rlike(PLAIN_NUMBER), left.try_cast("double"))
 
 
 def safe_int(c: Column | str) -> Column:
-    """Integer from any column, also from decimal text such as ``5.0``."""
-    c = _col(c)
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    """Integer from text, also from decimal text such as ``5.0``."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(WHOLE_OR_DECIMAL), text.try_cast("double").try_cast("int"))
 
 
 def safe_cast(c: Column | str, data_type: str) -> Column:
-    """Cast that yields NULL where the value does not fit."""
+    """Cast of text that yields NULL where the value does not fit."""
     if data_type in ("int", "integer"):
         return safe_int(c)
+    if data_type in ("float", "double"):
+        text = _col(c).cast("string")
+        return F.when(text.rlike(FLOATING), text.try_cast(data_type))
     return _col(c).try_cast(data_type)
 
 

@@ -58,10 +58,16 @@ def run_stamp(run_ts: datetime | Column | None = None) -> Column:
     return run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
 
 
-def conformed_columns(contract: Contract) -> list[Column]:
+def conformed_columns(contract: Contract, raw: T.StructType) -> list[Column]:
+    """The contract's columns, as text is read or typed columns are narrowed."""
+    text = {f.name.lower() for f in raw if isinstance(f.dataType, T.StringType)}
     out = []
     for source, target, data_type in contract.specs():
-        value = safe_cast(F.col(f"`{source}`"), data_type)
+        value = F.col(f"`{source}`")
+        if source.lower() in text:
+            value = safe_cast(value, data_type)
+        else:
+            value = value.try_cast(data_type)
         if target in contract.defaults:
             value = F.coalesce(value, F.lit(contract.defaults[target]))
         out.append(value.alias(target))
@@ -80,7 +86,7 @@ def conform(
     contract (plus ``carry``) are read from the files.
     """
     return raw.select(
-        *conformed_columns(contract),
+        *conformed_columns(contract, raw.schema),
         run_stamp(run_ts).cast("timestamp").alias(LOADED_AT),
         *[F.col(c) for c in carry],
     )
