@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata.operators import apply_snapshot, as_of_join, latest_per_key, version_dimension
-from tristrata.sources import cut_lineage, latest_run, read_history, record_snapshot
+from tristrata.sources import cut_lineage, expire_runs, latest_run, read_history, record_snapshot
 
 SCHEMA = "id int, name string, city string, src string"
 KEYS, CHECK, CARRIED = ["id"], ["name", "city"], ["src"]
@@ -115,6 +115,22 @@ def test_unfinished_run_is_ignored(spark, tmp_path):
     assert versions(read_history(spark, base)) == [(1, "a", "x", "l1", 1, 3), (1, "b", "x", "l3", 3, None)]
 
 
+def test_expired_runs_lose_nothing_of_the_history(spark, tmp_path):
+    loads = random_loads(spark, 5, loads=4, ids=8)
+    base = str(tmp_path / "history")
+    for day, rows in enumerate(loads, start=1):
+        record_snapshot(frame(spark, rows), base, KEYS, CHECK, at(day), CARRIED)
+    first, third = latest_run(spark, base, "20240102"), latest_run(spark, base, "20240104")
+    assert len(expire_runs(spark, base, keep=2)) == 2
+    assert expire_runs(spark, base, keep=2) == []
+    assert versions(read_history(spark, base)) == rebuilt(loads)
+    assert versions(read_history(spark, base, third)) == rebuilt(loads[:3])
+    with pytest.raises(ValueError, match="expired"):
+        read_history(spark, base, first)
+    with pytest.raises(ValueError, match="no finished run"):
+        read_history(spark, base, "20230101")
+
+
 def test_source_of_a_log_is_not_shuffled_twice(spark):
     log = spark.range(0, 1000, 1, 4).select(
         (F.col("id") % 100).cast("int").alias("id"),

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from functools import partial
+
+import pytest
 from pyspark.sql import functions as F
 
 from tristrata.plans.contracts import SILVER
@@ -12,26 +15,28 @@ def put(spark, folder, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
 
 
-def run(spark, tmp_path):
+def run(spark, tmp_path, **kwargs):
     raw = raw_stream(spark, str(tmp_path / "raw"), SCHEMA, files_per_batch=1)
-    rows = silver_stream(raw, SILVER["diseases"], ["disease_id", "patient_id"])
+    rows = silver_stream(raw, SILVER["diseases"], ["disease_id", "patient_id"], **kwargs)
     stream_to_silver(rows, str(tmp_path / "silver"), str(tmp_path / "checkpoint"))
     return spark.read.parquet(str(tmp_path / "silver"))
 
 
-def test_each_key_once_across_files_and_runs(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 4])
+def test_each_key_once_across_files_and_runs(spark, tmp_path, spread):
     raw = str(tmp_path / "raw")
+    run_all = partial(run, spark, tmp_path, spread=spread)
     put(spark, raw, [("1", "7", "flu", "2024-01-01"), ("2.0", "7", "cold", "2001-01-01")])
     put(spark, raw, [("1", "7", "flu", "2024-01-01"), ("x", "8", None, None)])
-    stored = run(spark, tmp_path)
+    stored = run_all()
     assert stored.count() == 3
     assert {(r.disease_id, r.patient_id) for r in stored.collect()} == {(1, 7), (2, 7), (None, 8)}
     # the next run takes the new file only and still knows the old keys
     put(spark, raw, [("2", "7", "cold", "2001-01-01"), ("3", "9", "old", "1970-01-01")])
-    stored = run(spark, tmp_path)
+    stored = run_all()
     assert sorted(r.disease_id or 0 for r in stored.collect()) == [0, 1, 2, 3]
     assert stored.where(F.col("ingest_day").isNull()).count() == 0
-    assert run(spark, tmp_path).count() == 4
+    assert run_all().count() == 4
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):

@@ -94,6 +94,20 @@ def test_land_all_reports_and_continues(spark, raw_folder, tmp_path):
     assert read_bronze(spark, bronze, "scan").select("content").first()[0] == b"%PDF-1.4 \x00\x01"
 
 
+def test_csv_files_with_other_columns_are_lined_up(spark, tmp_path):
+    raw, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    raw.mkdir()
+    (raw / "patient_1.csv").write_text("patient_id,name\n1,a\n")
+    (raw / "patient_2.csv").write_text("name,patient_id,email\nb,2,b@x\n")
+    report = land_all(spark, str(raw), bronze, DAY, ENTITIES).first()
+    assert (report.status, report.rows) == ("ok", 2)
+    landed = read_bronze(spark, bronze, "patient")
+    assert {(r.patient_id, r.name, r.email) for r in landed.collect()} == {
+        ("1", "a", None),
+        ("2", "b", "b@x"),
+    }
+
+
 def test_landing_replaces_its_own_day_only(spark, tmp_path):
     base = str(tmp_path)
     for day, n in ((DAY, 3), (date(2024, 1, 6), 4), (DAY, 5)):

@@ -1,7 +1,7 @@
 """Reading raw and stored tables, and writing them."""
 
 from tristrata.sources.bronze import read_bronze, read_dated_files
-from tristrata.sources.history_store import latest_run, read_history, record_snapshot
+from tristrata.sources.history_store import expire_runs, latest_run, read_history, record_snapshot
 from tristrata.sources.landing import discover, land, land_all, read_raw, read_raw_csv, stringify
 from tristrata.sources.sinks import (
     WriteLayout,
@@ -24,6 +24,7 @@ __all__ = [
     "discover",
     "ensure_db",
     "ensure_table",
+    "expire_runs",
     "fresh_folder",
     "land",
     "land_all",

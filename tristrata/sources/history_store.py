@@ -6,6 +6,9 @@ history after a run is every closed version up to it plus the open versions of
 that run. Nothing that was written is read and replaced at the same time, a
 repeated run replaces its own folder, and closed versions are never rewritten.
 A run counts once its line is in ``<base>/ledger``, written last.
+
+The open versions of older runs serve only to go back to such a run;
+``expire_runs`` drops them.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from tristrata.operators.history import (
 )
 
 RUN = "run"
-LEDGER = "run string, opened long, closed long, open_versions long"
+LEDGER = "run string, opened long, closed long, open_versions long, expired boolean"
 
 
 def run_id(run_ts: datetime) -> str:
@@ -48,10 +51,14 @@ def _ledger_line(spark: SparkSession, values: dict[str, object]) -> DataFrame:
 
 def latest_run(spark: SparkSession, base: str, before: str | None = None) -> str | None:
     """Id of the newest finished run, optionally of those before another."""
-    ledger = _ledger(spark, base)
-    if before is not None:
-        ledger = ledger.where(F.col(RUN) < before)
-    return ledger.agg(F.max(RUN)).first()[0]
+    runs = _runs(spark, base)
+    return max((r for r in runs if before is None or r < before), default=None)
+
+
+def _runs(spark: SparkSession, base: str) -> dict[str, bool]:
+    # One line per run, whatever the size of the history: run -> expired.
+    runs = _ledger(spark, base).groupBy(RUN).agg(F.coalesce(F.bool_or("expired"), F.lit(False)))
+    return {r[0]: r[1] for r in runs.collect()}
 
 
 def _versions(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
@@ -70,10 +77,13 @@ def read_history(spark: SparkSession, base: str, run: str | None = None) -> Data
     The finished runs enter the filter as literals, so only their folders are
     listed as inputs; what an unfinished run left behind is never read.
     """
-    run = run or latest_run(spark, base)
-    if run is None:
-        raise ValueError(f"no finished run under {base}")
-    finished = [r[0] for r in _ledger(spark, base).where(F.col(RUN) <= run).select(RUN).distinct().collect()]
+    runs = _runs(spark, base)
+    run = run or max(runs, default=None)
+    if run not in runs:
+        raise ValueError(f"no finished run {run or ''} under {base}")
+    if runs[run]:
+        raise ValueError(f"run {run} has expired")
+    finished = sorted(r for r in runs if r <= run)
     closed = F.col(RUN).isin(finished) & ~F.col(IS_CURRENT)
     after = closed | ((F.col(RUN) == run) & F.col(IS_CURRENT))
     return _versions(spark, base).where(after).drop(RUN, IS_CURRENT)
@@ -116,3 +126,22 @@ def record_snapshot(
 
     _ledger_line(spark, {RUN: run, **counts.get}).write.mode("append").json(f"{base}/ledger")
     return counts.get
+
+
+def expire_runs(spark: SparkSession, base: str, keep: int = 7) -> list[str]:
+    """Drop the open versions of all but the newest ``keep`` runs.
+
+    Closed versions stay, so the history itself loses nothing; only going back
+    to the state after an expired run is no longer possible. The ledger is
+    marked before any file goes, so an interrupted call can be repeated.
+    """
+    runs = _runs(spark, base)
+    old = sorted(runs)[: -max(keep, 1)]
+    fresh = [r for r in old if not runs[r]]
+    for run in fresh:
+        _ledger_line(spark, {RUN: run, "expired": True}).write.mode("append").json(f"{base}/ledger")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for run in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/versions/{RUN}={run}/{IS_CURRENT}=true")
+        path.getFileSystem(conf).delete(path, True)
+    return fresh

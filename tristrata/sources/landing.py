@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +124,25 @@ def land(
     writer.parquet(f"{base.rstrip('/')}/{entity}")
 
 
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """CSV files whose headers differ, lined up by column name.
+
+    Files with the same header are read together. Also returns the files that
+    could not be opened.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    unreadable = []
+    for path in paths:
+        try:
+            header = tuple(spark.read.option("header", True).csv(path).columns)
+        except Exception:  # noqa: BLE001 - reported by the caller
+            unreadable.append(path)
+        else:
+            groups.setdefault(header, []).append(path)
+    frames = [read_raw_csv(spark, p, header) for header, p in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), unreadable
+
+
 def _land_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> tuple[int, int]:
     # The counts ride along with the write; nothing is read a second time.
     counts = Observation()
@@ -137,11 +158,13 @@ def land_all(
     ingest_dt: date,
     entities: Sequence[str] = (),
     layout: WriteLayout | None = None,
+    threads: int = 4,
 ) -> DataFrame:
     """Land every entity found under ``root`` and report on each.
 
-    An entity that fails is reported and the others continue. The driver holds
-    file names only, grouped by entity and format.
+    An entity that fails is reported and the others continue; a few are
+    submitted to Spark at a time. CSV files of one entity may differ in their
+    columns. The driver holds file names only, grouped by entity and format.
     """
     groups = (
         discover(spark, root, entities)
@@ -153,15 +176,28 @@ def land_all(
     formats: dict[str, int] = {}
     for g in groups:
         formats[g.entity] = formats.get(g.entity, 0) + 1
-    report = []
-    for g in groups:
+
+    def load(g: Row) -> tuple:
         # Two formats of one entity are two datasets, else one would replace
         # the other.
         target = g.entity if formats[g.entity] == 1 else f"{g.entity}_{g.format}"
+
+        def store(df: DataFrame) -> tuple[int, int]:
+            return _land_counted(df, lambda d: land(d, base, target, ingest_dt, layout))
+
         try:
-            df = read_raw(spark, g.paths, g.format)
-            rows, bad = _land_counted(df, lambda d, t=target: land(d, base, t, ingest_dt, layout))
-            report.append((target, g.format, "ok", rows, bad, None))
+            try:
+                rows, bad = store(read_raw(spark, g.paths, g.format))
+                return (target, g.format, "ok", rows, bad, None)
+            except Exception:
+                if g.format != "csv" or len(g.paths) == 1:
+                    raise
+            df, unreadable = _by_header(spark, g.paths)
+            rows, bad = store(df)
+            note = f"not read: {', '.join(unreadable)}" if unreadable else None
+            return (target, g.format, "partial" if unreadable else "ok", rows, bad, note)
         except Exception as error:  # noqa: BLE001 - reported, the rest continue
-            report.append((target, g.format, "failed", None, None, str(error).split("\n")[0]))
-    return spark.createDataFrame(report, REPORT)
+            return (target, g.format, "failed", None, None, str(error).split("\n")[0])
+
+    with ThreadPoolExecutor(threads) as pool:
+        return spark.createDataFrame(list(pool.map(load, groups)), REPORT)

@@ -12,6 +12,7 @@ from tristrata.operators.conform import Contract, conform
 from tristrata.sources.sinks import INGEST_DAY, with_load_day
 
 ARRIVED_AT = "arrived_at"
+PART = "arrival_part"
 BATCH = "batch"
 
 
@@ -23,7 +24,8 @@ def raw_stream(
     files_per_batch: int | None = None,
     **options,
 ) -> DataFrame:
-    """Files of a folder as a stream, each row with the time its file arrived.
+    """Files of a folder as a stream, each row with the time its file arrived
+    and a number that tells the parts of the input apart.
 
     Files are taken in order of arrival, so a watermark on ``arrived_at`` never
     passes rows that are still to come, whatever their business time is.
@@ -32,7 +34,8 @@ def raw_stream(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrived = F.col("_metadata.file_modification_time").alias(ARRIVED_AT)
-    return reader.load(path).select("*", arrived)
+    part = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias(PART)
+    return reader.load(path).select("*", arrived, part)
 
 
 def silver_stream(
@@ -41,15 +44,24 @@ def silver_stream(
     keys: Sequence[str],
     run_ts: Column | None = None,
     horizon: str = "1 day",
+    spread: int = 16,
 ) -> DataFrame:
     """Conformed rows, each key once within ``horizon`` of its first arrival.
 
     The state kept per key is its expiry time only, and is dropped once the
-    watermark passes it.
+    watermark passes it. Repeats are removed in two steps, first per key and
+    part of the input, in ``spread`` groups, then per key: a key that is
+    delivered over and over spreads over that many tasks and reaches its single
+    task at most ``spread`` times. ``spread=1`` leaves out the first step and
+    its state, for sources that repeat rows evenly.
     """
     stamp = F.col(ARRIVED_AT) if run_ts is None else run_ts
-    rows = conform(raw, contract, stamp, carry=[ARRIVED_AT])
-    return rows.withWatermark(ARRIVED_AT, horizon).dropDuplicatesWithinWatermark(list(keys))
+    rows = conform(raw, contract, stamp, carry=[ARRIVED_AT, PART])
+    rows = rows.withWatermark(ARRIVED_AT, horizon)
+    if spread > 1:
+        salted = rows.withColumn(PART, F.pmod(F.col(PART), F.lit(spread)))
+        rows = salted.dropDuplicatesWithinWatermark([*keys, PART])
+    return rows.drop(PART).dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_to_silver(rows: DataFrame, target: str, checkpoint: str) -> None:

@@ -134,10 +134,12 @@ def bronze_land_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT 'appointments' AS entity, 'ok' AS status, count(*) AS "rows" FROM appointment
 UNION ALL SELECT 'doctors', 'ok', count(*) FROM doctors
 UNION ALL SELECT 'treatments', 'ok', count(*) FROM treatments
-UNION ALL SELECT 'lab_results', 'failed', NULL""",
+UNION ALL SELECT 'lab_results', 'ok', 2 * count(*) FROM lab_results
+UNION ALL SELECT 'diseases', 'failed', NULL""",
         "appointment",
         "doctors",
         "treatments",
+        "lab_results",
     ),
 )
 def bronze_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,10 +147,14 @@ def bronze_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _export_csv(raw(spark, sf_dir, "appointment"), f"{folder}/raw/2024/appointments")
     raw(spark, sf_dir, "doctors").write.json(f"{folder}/raw/doctors")
     raw(spark, sf_dir, "treatments").write.parquet(f"{folder}/raw/deep/er/treatments")
-    # Files of one entity whose headers disagree: it fails, the others still land.
+    # Headers of one entity may disagree: its files are lined up by name.
     lab = raw(spark, sf_dir, "lab_results")
     _export_csv(lab.select("lab_result_id", "value"), f"{folder}/raw/lab_results")
-    _export_csv(lab.select("value", "lab_result_id"), f"{folder}/raw/lab_results_more")
+    _export_csv(lab.select("unit", "lab_result_id"), f"{folder}/raw/lab_results_more")
+    # Types that cannot be reconciled: this entity fails, the others still land.
+    disease = raw(spark, sf_dir, "diseases").select("disease_id")
+    disease.write.parquet(f"{folder}/raw/diseases")
+    disease.select(F.lit(1).alias("disease_id")).write.parquet(f"{folder}/raw/diseases_more")
     entities = [c.raw for c in SILVER.values()]
     report = land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, entities)
     return report.select("entity", "status", "rows")
@@ -478,6 +484,7 @@ def stream_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[none.alias(c) for c in ("blood_pressure", "heart_rate", "respiratory_rate")],
         *[none.alias(c) for c in ("oxygen_saturation", "blood_sugar")],
         "arrived_at",
+        "arrival_part",
     )
     delivered_twice = vitals.unionAll(vitals)
     rows = silver_stream(delivered_twice, SILVER["vital_signs"], ["vital_id"])
