@@ -49,15 +49,21 @@ def test_composite_keys_are_the_hash_of_their_text(spark, rows):
 
 def test_version_key_does_not_depend_on_the_time_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
-    keys = set()
+    # the second time does not exist as wall clock of New York, the third repeats there
+    times = {
+        1704088800000000: "2024-01-01 06:00:00",
+        1710037800500000: "2024-03-10 02:30:00.5",
+        1730613600000000: "2024-11-03 06:00:00",
+        -1: "1969-12-31 23:59:59.999999",
+    }
     try:
         for zone in ("UTC", "Asia/Ho_Chi_Minh", "America/New_York"):
             spark.conf.set("spark.sql.session.timeZone", zone)
-            start = F.timestamp_seconds(F.lit(1704088800))
-            keys.add(one(spark, fx.sk_version(F.lit(7), start)))
+            for micros, text in times.items():
+                start = F.timestamp_micros(F.lit(micros))
+                assert one(spark, fx.sk_version(F.lit(7), start)) == reference_key(f"7|{text}")
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert keys == {reference_key("7|2024-01-01 06:00:00")}
 
 
 @pytest.mark.parametrize(

@@ -6,6 +6,8 @@ lookup join and dimension and fact can be built independently.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +56,9 @@ def sk_version(key: Column | str, valid_from: Column | str) -> Column:
     The time enters the hash as UTC text, so the key does not change with the
     time zone of the session that computes it.
     """
-    utc = F.to_utc_timestamp(_col(valid_from), F.current_timezone())
+    seconds = F.unix_micros(_col(valid_from)).cast("decimal(18,0)") * F.lit(Decimal("0.000001"))
+    since_epoch = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    utc = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + since_epoch
     text = F.concat(_col(key).cast("string"), F.lit(SEPARATOR), utc.cast("string"))
     return _positive_hash(text)
 

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,40 +164,37 @@ def land_all(
 
     An entity that fails is reported and the others continue; a few are
     submitted to Spark at a time. CSV files of one entity may differ in their
-    columns. The driver holds file names only, grouped by entity and format.
+    columns. The driver holds the file
+    names, as Spark's own file index does, and no data.
     """
-    groups = (
-        discover(spark, root, entities)
-        .groupBy("entity", "format")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("entity", "format")
-        .collect()
-    )
-    formats: dict[str, int] = {}
-    for g in groups:
-        formats[g.entity] = formats.get(g.entity, 0) + 1
-
-    def load(g: Row) -> tuple:
+    groups: dict[tuple[str, str], list[str]] = {}
+    for file in discover(spark, root, entities).select("entity", "format", "path").collect():
+        groups.setdefault((file.entity, file.format), []).append(file.path)
+    owners = [entity for entity, _ in groups]
+
+    def load(group: tuple[str, str]) -> tuple:
+        entity, fmt = group
+        paths = sorted(groups[group])
         # Two formats of one entity are two datasets, else one would replace
         # the other.
-        target = g.entity if formats[g.entity] == 1 else f"{g.entity}_{g.format}"
+        target = entity if owners.count(entity) == 1 else f"{entity}_{fmt}"
 
         def store(df: DataFrame) -> tuple[int, int]:
             return _land_counted(df, lambda d: land(d, base, target, ingest_dt, layout))
 
         try:
             try:
-                rows, bad = store(read_raw(spark, g.paths, g.format))
-                return (target, g.format, "ok", rows, bad, None)
+                rows, bad = store(read_raw(spark, paths, fmt))
+                return (target, fmt, "ok", rows, bad, None)
             except Exception:
-                if g.format != "csv" or len(g.paths) == 1:
+                if fmt != "csv" or len(paths) == 1:
                     raise
-            df, unreadable = _by_header(spark, g.paths)
+            df, unreadable = _by_header(spark, paths)
             rows, bad = store(df)
             note = f"not read: {', '.join(unreadable)}" if unreadable else None
-            return (target, g.format, "partial" if unreadable else "ok", rows, bad, note)
+            return (target, fmt, "partial" if unreadable else "ok", rows, bad, note)
         except Exception as error:  # noqa: BLE001 - reported, the rest continue
-            return (target, g.format, "failed", None, None, str(error).split("\n")[0])
+            return (target, fmt, "failed", None, None, str(error).split("\n")[0])
 
     with ThreadPoolExecutor(threads) as pool:
-        return spark.createDataFrame(list(pool.map(load, groups)), REPORT)
+        return spark.createDataFrame(list(pool.map(load, sorted(groups))), REPORT)
