@@ -16,6 +16,7 @@ from tristrata.operators import (
     pack_and_expand,
     smallest_value_per_key,
 )
+from tristrata.session import settings_for
 
 
 def plan(df) -> str:
@@ -120,6 +121,14 @@ def test_measures_are_aggregated_before_the_join(spark):
     assert text.index("Join") < text.index("HashAggregate")
 
 
+def test_settings_grow_with_the_data():
+    small, large = settings_for(10**9, 8), settings_for(100 * 10**12, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == "2000000000"
+    assert "autoBroadcastJoinThreshold" not in str(large)
+
+
 @pytest.mark.parametrize("when", [datetime(2024, 1, 1)])
 def test_latest_needs_no_python(spark, when):
     df = spark.range(5).withColumn("ingested_at", F.lit(when)).withColumn("k", F.col("id") % 2)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
-# A shuffle task should hold about this much, which sorts in memory on an
-# executor with a few GB per core.
-SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
-SCAN_TASK_BYTES = 256 * 1024 * 1024
+# A task should hold about this much, which sorts in memory on an executor with
+# a few GB per core.
+TASK_BYTES = 256 * 1024 * 1024
+# The driver keeps a size for every pair of map task and reducer, so beyond this
+# many tasks each gets more data (and may spill) instead.
+MOST_TASKS = 50_000
 
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
@@ -18,14 +20,14 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     stays at Spark's default: adaptive execution with skew-join handling, and
     broadcasts only below the size threshold.
     """
-    partitions = max(2 * cores, math.ceil(input_bytes / SHUFFLE_TASK_BYTES))
+    tasks = min(MOST_TASKS, math.ceil(input_bytes / TASK_BYTES))
+    scan_bytes = max(TASK_BYTES, math.ceil(input_bytes / MOST_TASKS))
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(SCAN_TASK_BYTES),
-        "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, tasks)),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
     }
