@@ -6,13 +6,15 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as driver
+from tristrata.workload.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(driver.oracle_sql()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query(spark, sf_dir, name):
     assert differences(spark, sf_dir, name) is None
 
