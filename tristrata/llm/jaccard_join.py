@@ -11,6 +11,7 @@ compared pair by pair. No group is ever expanded into all of its pairs.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +26,10 @@ from .tables import ship, written
 from .text import ASCII_LOWER, mix, words_by_row
 
 #: Counters of the table that tells rare n-grams from frequent ones. Its size is
-#: fixed (4 MB); n-grams that share a counter only seem more frequent than they are.
-COUNTERS = 1 << 20
+#: fixed (32 MB); n-grams that share a counter only seem more frequent than they
+#: are, which costs time but no result, as does the end of a counter's range.
+COUNTER_BITS = 24
+COUNTERS = 1 << COUNTER_BITS
 COUNTER_ROWS = 256
 #: Bins of the suffix filter.
 BINS = 64
@@ -50,8 +53,14 @@ def signature(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def bin_counts(grams: np.ndarray) -> np.ndarray:
+    """How many elements fall into each bin; what is beyond the type's range is clipped, which only weakens the filter."""
+    counts = np.bincount((grams & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
+
+
 def counter_of(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(44)).astype(np.int64)
+    return (grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
 def rare_first(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -115,40 +124,47 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
         return (ngram_set(words, n) for words in words_by_row(batch.column("text"), fold=ASCII_LOWER))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int32)
-        names = ["doc_id", "sig", "n", "part", "counts"]
+        counts = np.zeros(COUNTERS, np.uint16)
+        names = ["doc_id", "sig", "n", "bins", "part", "counts"]
+        bin_lists = pa.list_(pa.int16())
         none = None
         for batch in batches:
-            sigs, sizes = [], []
+            sigs, sizes, bins = [], [], [np.zeros(0, np.int16)]
             none = batch.column("doc_id").type
             for grams in sets(batch):
-                np.add.at(counts, counter_of(grams), 1)
+                at = counter_of(grams)
+                counts[at] += counts[at] < np.iinfo(np.uint16).max
                 sigs.append(signature(grams))
                 sizes.append(len(grams))
+                bins.append(bin_counts(grams))
             k = len(sigs)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+            ends = pa.array(np.arange(0, BINS * k + 1, BINS, dtype=np.int32))
+            binned = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(bins), pa.int16()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), binned, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if none is not None:
             step = COUNTERS // COUNTER_ROWS
             rows = [(i, counts[i * step : (i + 1) * step]) for i in range(COUNTER_ROWS)]
             rows = [(i, c) for i, c in rows if c.any()]
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, none), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array([i for i, _ in rows], pa.int32()), id_rows([c for _, c in rows], "<i4")], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, none), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, bin_lists), pa.array([i for i, _ in rows], pa.int32()), pa.array([zlib.compress(c, 1) for _, c in rows], pa.binary())], names)
 
-    signed = written(texts.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, part int, counts binary"), "signatures")
-    members = signed.where("part IS NULL").select("doc_id", "sig", "n")
+    signed = written(texts.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bins array<smallint>, part int, counts binary"), "signatures")
+    members_of = signed.where("part IS NULL").select("doc_id", "sig", "n", "bins")
+    members = members_of.select("doc_id", "sig", "n")
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS // COUNTER_ROWS, np.int64)
         for batch in batches:
             for raw in batch.column("counts").to_pylist():
-                total += np.frombuffer(raw, "<i4")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), id_rows([np.minimum(total, 2**31 - 1)], "<i4")], ["part", "counts"])
+                total += np.frombuffer(zlib.decompress(raw), "<u2")
+        done = np.minimum(total, np.iinfo(np.uint16).max).astype("<u2")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(done, 1)], pa.binary())], ["part", "counts"])
 
-    # One row per part of the counters: 4 MB in all, whatever the input.
+    # One row per part of the counters: 32 MB in all before compression, whatever the input.
     summed = signed.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(add, "part int, counts binary").collect()
-    counts = np.zeros(COUNTERS, np.int32)
+    counts = np.zeros(COUNTERS, np.uint16)
     for r in summed:
-        counts[r.part * (COUNTERS // COUNTER_ROWS) : (r.part + 1) * (COUNTERS // COUNTER_ROWS)] = np.frombuffer(r.counts, "<i4")
+        counts[r.part * (COUNTERS // COUNTER_ROWS) : (r.part + 1) * (COUNTERS // COUNTER_ROWS)] = np.frombuffer(zlib.decompress(r.counts), "<u2")
     counts = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,41 +199,36 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
     need = lambda x, y: F.ceil((F.col(x) + F.col(y)) * percent / F.lit(100.0 + percent) - 1e-9)
 
     def promising(a_n: str, a_place: str, b_n: str, b_place: str):
-        """Length filter, and positional filter: what both have before the common n-gram, itself, and what may follow."""
+        """Length filter, and positional filter: what both have before the common n-gram, itself, and what may follow.
+
+        Some common n-gram is among the first of the smaller set that can be
+        missing from a set of at least its size, which is a shorter prefix.
+        """
         lengths = (F.col(a_n) * 100 >= F.col(b_n) * percent) & (F.col(b_n) * 100 >= F.col(a_n) * percent)
         most = F.least(a_place, b_place) + 1 + F.least(F.col(a_n) - F.col(a_place) - 1, F.col(b_n) - F.col(b_place) - 1)
-        return lengths & (most >= need(a_n, b_n))
+        small, place = F.least(a_n, b_n), F.when(F.col(a_n) < F.col(b_n), F.col(a_place)).when(F.col(b_n) < F.col(a_n), F.col(b_place)).otherwise(F.least(a_place, b_place))
+        short = place <= small - F.ceil(small * (2 * percent) / F.lit(100.0 + percent) - 1e-9)
+        return lengths & (most >= need(a_n, b_n)) & short
 
-    # The sets of classes that share an n-gram with another, each taken from its first document.
-    first_of = members.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("doc_id"))
-    wanted = found.select("sig").distinct().join(first_of, "sig").select("doc_id").distinct()
+    # One row a class: its size, its bins and the first document that has its set.
+    classes = written(members_of.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(signature(grams), grams) for grams in sets(batch)]
-            if rows:
-                bins = [np.bincount((g & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS) for _, g in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([s for s, _ in rows], pa.int64()),
-                        pa.array([len(g) for _, g in rows], pa.int32()),
-                        id_rows([g for _, g in rows], "<u8"),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, BINS * len(rows) + 1, BINS, dtype=np.int32)), pa.array(np.concatenate(bins), pa.int32())),
-                    ],
-                    ["sig", "n", "grams", "bins"],
-                )
-
-    needed = texts.join(wanted, "doc_id", "left_semi").select("text")
-    kept_sets = written(needed.mapInArrow(set_rows, "sig bigint, n int, grams binary, bins array<int>").where("n > 0").dropDuplicates(["sig", "n"]), "sets")
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()), id_rows([g for _, g in rows], "<u8")], ["sig", "grams"])
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that are similar: suffix filter on counts by bin, then on the sets, then the overlap itself."""
-        narrow = kept_sets.select("sig", "n", "bins")
-        left, right = (narrow.select(F.col("sig").alias(k), F.col("n").alias(f"{k}_n"), F.col("bins").alias(f"{k}_bins")) for k in "ab")
-        near = pairs.join(left, "a").join(right, "b")
+        left, right = (classes.select(F.col("sig").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("n", "bins", "doc"))) for k in "ab")
         apart = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        near = near.where(apart <= F.col("a_n") + F.col("b_n") - 2 * need("a_n", "b_n")).select("a", "b")
-        left, right = (kept_sets.select(F.col("sig").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
+        near = pairs.join(left, "a").join(right, "b").where(apart <= F.col("a_n") + F.col("b_n") - 2 * need("a_n", "b_n"))
+        near = written(near.select("a", "b", "a_doc", "b_doc"), "near-pairs")
+        # Only the documents of these pairs are read again. Spark broadcasts their ids while the files are small.
+        wanted = written(near.select(F.col("a_doc").alias("doc_id")).union(near.select("b_doc")).distinct().sort("doc_id"), "near-documents")
+        found_sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(set_rows, "sig bigint, grams binary")
+        found_sets = written(found_sets, "near-sets")
+        left, right = (found_sets.select(F.col("sig").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -233,29 +244,49 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-        return near.join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint")
+        return near.select("a", "b").join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint").distinct()
+
+    def pair(x: str, y: str) -> list:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
     to_leader = found.where(F.col("sig") != F.col("l_sig")).where(promising("n", "place", "l_n", "l_place"))
-    tried = to_leader.select(F.least("sig", "l_sig").alias("a"), F.greatest("sig", "l_sig").alias("b")).distinct()
+    tried = written(to_leader.select(*pair("sig", "l_sig")).distinct(), "leader-pairs")
     links = written(verified(tried), "leader-links")
-    root = components(links)
+
+    def placed_in(links: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+        """``rows`` with the component of each class column."""
+        root = components(links)
+        for c in columns:
+            rows = rows.join(root.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left")
+            rows = rows.withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+        return rows
+
+    # A second round where an n-gram still has several components: other leaders,
+    # a different one for each eighth of the n-grams, so that a group whose members
+    # are not all similar to one leader hangs together through several.
+    rows = placed_in(links, found.select("gram", "sig", "n", "place"), "sig")
+    rows = rows.withColumn("mixed", F.min("sig_root").over(by_gram) != F.max("sig_root").over(by_gram)).where("mixed")
+    second = F.min(F.struct(F.xxhash64("sig", F.pmod("gram", F.lit(8))).alias("h"), "sig", "n", "place", "sig_root")).over(by_gram)
+    rows = written(rows.withColumn("lead", second).select("gram", "sig", "n", "place", *(F.col(f"lead.{c}").alias(f"l_{c}") for c in ("sig", "n", "place", "sig_root")), "sig_root"), "mixed-prefixes")
+    again = rows.where(F.col("sig_root") != F.col("l_sig_root")).where(promising("n", "place", "l_n", "l_place")).select(*pair("sig", "l_sig")).distinct()
+    again = written(again.join(tried, ["a", "b"], "left_anti"), "second-pairs")
+    links = written(links.union(verified(again)), "second-links")
+    tried = tried.union(again)
 
     # What is still apart: pairs of one n-gram whose components differ, at least one outside the leader's.
-    of = lambda column: root.select(F.col("node").alias(column), F.col("root").alias(f"{column}_root"))
-    placed = found.join(of("sig"), "sig", "left").join(of("l_sig"), "l_sig", "left")
-    placed = placed.withColumn("root", F.coalesce("sig_root", "sig")).withColumn("lead_root", F.coalesce("l_sig_root", "l_sig"))
-    outside = placed.where("root != lead_root").select("gram", F.col("sig").alias("x"), F.col("n").alias("x_n"), F.col("place").alias("x_place"), F.col("root").alias("x_root"))
-    others = placed.where("sig != l_sig").select("gram", F.col("sig").alias("y"), F.col("n").alias("y_n"), F.col("place").alias("y_place"), F.col("root").alias("y_root"), (F.col("root") != F.col("lead_root")).alias("y_out"))
+    placed = placed_in(links, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
+    outside = placed.where("sig_root != l_sig_root").select("gram", F.col("sig").alias("x"), F.col("n").alias("x_n"), F.col("place").alias("x_place"), F.col("sig_root").alias("x_root"))
+    others = placed.where("sig != l_sig").select("gram", F.col("sig").alias("y"), F.col("n").alias("y_n"), F.col("place").alias("y_place"), F.col("sig_root").alias("y_root"), (F.col("sig_root") != F.col("l_sig_root")).alias("y_out"))
     apart = outside.join(
         others,
         (outside["gram"] == others["gram"]) & (F.col("x_root") != F.col("y_root")) & (~F.col("y_out") | (F.col("x") < F.col("y"))) & promising("x_n", "x_place", "y_n", "y_place"),
     )
-    rest = apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(verified(rest), "other-links")
-    links = links.union(more)
+    rest = apart.select(*pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
+    links = links.union(written(verified(rest), "other-links"))
 
     # From classes back to documents. A document with several texts joins their components.
-    node = members.where("n > 0").groupBy("doc_id").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a != b").select("a", "b")
+    texts_of = members.where("n > 0").select(F.col("sig").alias("a"), F.min("sig").over(Window.partitionBy("doc_id")).alias("b"))
+    node = texts_of.where("a != b")
     root = components(links.union(node))
     placed = members.join(root.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
