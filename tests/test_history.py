@@ -194,3 +194,25 @@ def test_as_of_join_with_a_hot_key(spark, threshold):
             if v.id == r.who and v.valid_from <= r.t and (v.valid_to is None or r.t < v.valid_to)
         ]
         assert got[r.fact] == (match[0] if match else (None, None))
+
+
+def test_late_and_unfounded_runs_raise(spark, tmp_path):
+    base = str(tmp_path / "ordered")
+    for day in (1, 2, 4):
+        record_snapshot(frame(spark, [(1, "a" * day, "x", "l")]), base, KEYS, CHECK, at(day), CARRIED)
+    with pytest.raises(ValueError, match="older"):
+        record_snapshot(frame(spark, [(1, "b", "x", "l")]), base, KEYS, CHECK, at(3), CARRIED)
+    assert len(expire_runs(spark, base, keep=1)) == 1
+    counts = record_snapshot(frame(spark, [(1, "aaaa", "x", "l")]), base, KEYS, CHECK, at(4), CARRIED)
+    assert (counts["opened"], counts["closed"]) == (1, 1)
+    assert read_history(spark, base).count() == 3
+
+
+def test_columns_that_only_some_days_have(spark, tmp_path):
+    from tristrata.sources import read_bronze
+
+    base = str(tmp_path / "bronze")
+    spark.createDataFrame([(1, "a")], "id long, a string").write.parquet(f"{base}/t/ingest_dt=2024-01-01")
+    spark.createDataFrame([(2, "a", "b")], "id long, a string, b string").write.parquet(f"{base}/t/ingest_dt=2024-01-02")
+    got = {r.id: r.b for r in read_bronze(spark, base, "t").collect()}
+    assert got == {1: None, 2: "b"}

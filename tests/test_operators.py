@@ -124,8 +124,8 @@ def test_measures_are_aggregated_before_the_join(spark):
 def test_settings_grow_with_the_data():
     small, large = settings_for(10**9, 8), settings_for(100 * 10**12, 4000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert large["spark.sql.shuffle.partitions"] == "50000"
-    assert large["spark.sql.files.maxPartitionBytes"] == "2000000000"
+    assert large["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (256 * 1024 * 1024)))
+    assert large["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
     assert "autoBroadcastJoinThreshold" not in str(large)
 
 

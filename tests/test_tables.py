@@ -283,7 +283,10 @@ def test_silver_run_reports_failures_and_keeps_the_day(spark, tmp_path):
     for day in (DAY, date(2024, 1, 6)):
         land(rows, bronze, contract.raw, day)
     cfg = SilverConfig(bronze, str(tmp_path / "silver"), tables=("patient", "doctors"))
-    report = {r.table: r for r in run_silver(spark, cfg, datetime(2024, 1, 7)).collect()}
+    with pytest.raises(RuntimeError, match="1 of 2 silver tables failed: doctors"):
+        run_silver(spark, SilverConfig(bronze, str(tmp_path / "raised"), tables=("patient", "doctors")), datetime(2024, 1, 7))
+    assert spark.read.parquet(f"{tmp_path}/raised/patient").count() == 2
+    report = {r.table: r for r in run_silver(spark, cfg, datetime(2024, 1, 7), raise_failed=False).collect()}
     assert (report["patient"].status, report["patient"]["rows"]) == ("ok", 2)
     assert report["doctors"].status == "failed" and "doctors" in report["doctors"].error
     stored = spark.read.parquet(f"{tmp_path}/silver/patient")

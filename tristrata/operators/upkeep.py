@@ -96,13 +96,13 @@ def maintain(
     spark: SparkSession,
     tables: dict[str, str],
     as_of: date,
-    window_days: int | None = 7,
+    window_days: int | None = None,
     target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
     """Compact a list of tables and report files and bytes before and after.
 
-    Only days loaded in the last ``window_days`` are considered (None: all), as
-    older ones were compacted by earlier runs.
+    All days are considered; ``window_days`` limits that to the days loaded
+    last, where earlier runs are known to have compacted the others.
     """
     since = None if window_days is None else as_of - timedelta(days=window_days)
     report = []

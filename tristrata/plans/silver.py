@@ -58,11 +58,14 @@ def load_table(spark: SparkSession, cfg: SilverConfig, table: str, run_ts: datet
     return counted.get["rows"]
 
 
-def run_silver(spark: SparkSession, cfg: SilverConfig, run_ts: datetime) -> DataFrame:
+def run_silver(
+    spark: SparkSession, cfg: SilverConfig, run_ts: datetime, raise_failed: bool = True
+) -> DataFrame:
     """Load every silver table and report on each: (table, status, rows, error).
 
     The tables are independent, so a few are submitted at a time; one that
-    fails is reported and does not stop the others.
+    fails does not stop the others, but once all were tried the run raises,
+    unless ``raise_failed`` is off.
     """
     if "/" not in cfg.silver:
         ensure_db(spark, cfg.silver)
@@ -75,4 +78,7 @@ def run_silver(spark: SparkSession, cfg: SilverConfig, run_ts: datetime) -> Data
 
     with ThreadPoolExecutor(cfg.threads) as pool:
         report = list(pool.map(load, cfg.tables))
+    failed = [f"{table}: {error}" for table, status, _, error in report if status == "failed"]
+    if failed and raise_failed:
+        raise RuntimeError(f"{len(failed)} of {len(report)} silver tables failed: {'; '.join(failed)}")
     return spark.createDataFrame(report, REPORT)

@@ -7,12 +7,11 @@ import math
 # A task should hold about this much, which sorts in memory on an executor with
 # a few GB per core.
 TASK_BYTES = 256 * 1024 * 1024
-# The driver keeps a size for every pair of map task and reducer, so beyond this
-# many tasks each gets more data (and may spill) instead.
-MOST_TASKS = 50_000
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+def settings_for(
+    input_bytes: int, cores: int, task_bytes: int = TASK_BYTES
+) -> dict[str, str]:
     """Settings for jobs whose largest table has ``input_bytes``.
 
     Adaptive execution merges shuffle partitions but cannot split all of them,
@@ -20,14 +19,13 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     stays at Spark's default: adaptive execution with skew-join handling, and
     broadcasts only below the size threshold.
     """
-    tasks = min(MOST_TASKS, math.ceil(input_bytes / TASK_BYTES))
-    scan_bytes = max(TASK_BYTES, math.ceil(input_bytes / MOST_TASKS))
+    tasks = math.ceil(input_bytes / task_bytes)
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
         "spark.sql.shuffle.partitions": str(max(2 * cores, tasks)),
-        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
     }

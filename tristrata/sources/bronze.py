@@ -17,7 +17,8 @@ def _iso(day: date | str) -> str:
 def _dated(spark: SparkSession, root: str, day: date | str | None, name_glob: str | None) -> DataFrame:
     # Only the folder of the wanted day is listed; without basePath its date
     # would not become a column.
-    reader = spark.read.option("basePath", root)
+    # Days and files may differ in columns; a column that some lack is null there.
+    reader = spark.read.option("basePath", root).option("mergeSchema", True)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     path = root if day is None else f"{root}/{INGEST_DT}={_iso(day)}"

@@ -99,6 +99,9 @@ def record_snapshot(
 ) -> dict[str, int]:
     """Run one snapshot against the stored history; returns its counts.
 
+    Runs come in order of time: only the newest may be repeated, and an older
+    one raises, as does one whose previous run has expired.
+
     Reads the open versions of the previous run and the source, joins them once
     and writes once. Cost does not grow with the number of closed versions.
     """
@@ -106,7 +109,13 @@ def record_snapshot(
     run = run_id(run_ts)
     # Start an empty ledger on the first run; later this does nothing.
     _ledger_line(spark, {}).limit(0).write.mode("ignore").json(f"{base}/ledger")
-    previous = latest_run(spark, base, before=run)
+    runs = _runs(spark, base)
+    newest = max(runs, default=run)
+    if run < newest:
+        raise ValueError(f"run {run} is older than {newest}: history would overlap")
+    previous = max((r for r in runs if r < run), default=None)
+    if previous is not None and runs[previous]:
+        raise ValueError(f"the run before {run} has expired: its open versions are gone")
     blank = empty_history(source, keys, check_cols, carried)
     if previous is None:
         open_rows = blank
@@ -129,14 +138,16 @@ def record_snapshot(
 
 
 def expire_runs(spark: SparkSession, base: str, keep: int = 7) -> list[str]:
-    """Drop the open versions of all but the newest ``keep`` runs.
+    """Drop the open versions of all but the newest ``keep`` runs, two at least.
+
+    The run before the newest stays in any case, as repeating the newest needs it.
 
     Closed versions stay, so the history itself loses nothing; only going back
     to the state after an expired run is no longer possible. The ledger is
     marked before any file goes, so an interrupted call can be repeated.
     """
     runs = _runs(spark, base)
-    old = sorted(runs)[: -max(keep, 1)]
+    old = sorted(runs)[: -max(keep, 2)]
     fresh = [r for r in old if not runs[r]]
     for run in fresh:
         _ledger_line(spark, {RUN: run, "expired": True}).write.mode("append").json(f"{base}/ledger")

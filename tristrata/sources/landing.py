@@ -75,6 +75,9 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], fmt: str, **kwargs)
     if fmt == "csv":
         return read_raw_csv(spark, path, **kwargs)
     reader = spark.read.format(READERS.get(fmt, OPAQUE))
+    if fmt in ("parquet", "orc"):
+        # Files of one entity may differ in columns; none is lost.
+        reader = reader.option("mergeSchema", True)
     return reader.load(path if isinstance(path, str) else list(path))
 
 
