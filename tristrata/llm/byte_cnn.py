@@ -168,7 +168,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: in
     parts = net.parts()
     m, s = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     step, size = 0, max(8, min(32, len(y) // 12))
-    rounds = epochs * max(1, round(1500 / len(y)))
+    rounds = epochs * min(6, max(1, round(1500 / len(y))))  # small samples are gone through more often
     for k in range(rounds):
         order = rng.permutation(len(y))
         rate = 0.006 * (1 - k / rounds) + 0.0005
