@@ -229,17 +229,13 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
         wanted = written(near.select(F.col("a_doc").alias("doc_id")).union(near.select("b_doc")).distinct().sort("doc_id"), "near-documents")
         found_sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(set_rows, "sig bigint, grams binary")
         found_sets = written(found_sets, "near-sets")
-        # Of two classes, leaders are those with the smaller hash: the sets of the
-        # others travel to them, and only sets of leaders travel for themselves.
-        leads = F.xxhash64("a") < F.xxhash64("b")
-        sides = near.select("a", "b", F.when(leads, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(leads, F.col("b")).otherwise(F.col("a")).alias("leaf"))
-        leaves = found_sets.select(F.col("sig").alias("leaf"), F.col("grams").alias("leaf_grams"))
-        hubs = found_sets.select(F.col("sig").alias("hub"), F.col("grams").alias("hub_grams")).join(sides.select("hub").distinct(), "hub", "left_semi")
+        # Both sides are the same shuffled sets, which Spark sends once.
+        left, right = (found_sets.select(F.col("sig").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = []
-                for x, y in zip(batch.column("hub_grams").to_pylist(), batch.column("leaf_grams").to_pylist()):
+                for x, y in zip(batch.column("a_grams").to_pylist(), batch.column("b_grams").to_pylist()):
                     x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                     least = least_overlap(percent, len(x), len(y))
                     if suffix_apart(x, y, len(x) + len(y) - 2 * least):
@@ -250,7 +246,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-        return sides.join(leaves, "leaf").join(hubs, "hub").mapInArrow(verify, "a bigint, b bigint").distinct()
+        return near.select("a", "b").join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint").distinct()
 
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
