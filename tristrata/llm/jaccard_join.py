@@ -31,8 +31,8 @@ from .text import ASCII_LOWER, mix, words_by_row
 COUNTER_BITS = 24
 COUNTERS = 1 << COUNTER_BITS
 COUNTER_ROWS = 256
-#: Bins of the suffix filter.
-BINS = 64
+#: Bits of the parity filter, a multiple of 64.
+PARITY_BITS = 512
 _FOLD = np.uint64(0x9FB21C651E98DF25)
 _SEEN = 1 << 17
 
@@ -53,10 +53,14 @@ def signature(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def bin_counts(grams: np.ndarray) -> np.ndarray:
-    """How many elements fall into each bin; what is beyond the type's range is clipped, which only weakens the filter."""
-    counts = np.bincount((grams & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-    return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
+def parities(grams: np.ndarray) -> np.ndarray:
+    """For each of the classes that hashes fall into, whether their number is odd, as 64-bit words.
+
+    An element that only one of two sets has flips one bit, so the sets differ
+    in at least as many elements as these bits do.
+    """
+    odd = np.bincount((grams & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def counter_of(grams: np.ndarray) -> np.ndarray:
@@ -125,31 +129,32 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint16)
-        names = ["doc_id", "sig", "n", "bins", "part", "counts"]
-        bin_lists = pa.list_(pa.int16())
+        names = ["doc_id", "sig", "n", "bits", "part", "counts"]
+        words = PARITY_BITS // 64
+        word_lists = pa.list_(pa.int64())
         none = None
         for batch in batches:
-            sigs, sizes, bins = [], [], [np.zeros(0, np.int16)]
+            sigs, sizes, bits = [], [], [np.zeros(0, np.int64)]
             none = batch.column("doc_id").type
             for grams in sets(batch):
                 at = counter_of(grams)
                 counts[at] += counts[at] < np.iinfo(np.uint16).max
                 sigs.append(signature(grams))
                 sizes.append(len(grams))
-                bins.append(bin_counts(grams))
+                bits.append(parities(grams))
             k = len(sigs)
-            ends = pa.array(np.arange(0, BINS * k + 1, BINS, dtype=np.int32))
-            binned = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(bins), pa.int16()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), binned, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+            ends = pa.array(np.arange(0, words * k + 1, words, dtype=np.int32))
+            packed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(bits), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), packed, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if none is not None:
             step = COUNTERS // COUNTER_ROWS
             rows = [(i, counts[i * step : (i + 1) * step]) for i in range(COUNTER_ROWS)]
             rows = [(i, c) for i, c in rows if c.any()]
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, none), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, bin_lists), pa.array([i for i, _ in rows], pa.int32()), pa.array([zlib.compress(c, 1) for _, c in rows], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, none), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, word_lists), pa.array([i for i, _ in rows], pa.int32()), pa.array([zlib.compress(c, 1) for _, c in rows], pa.binary())], names)
 
-    signed = written(texts.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bins array<smallint>, part int, counts binary"), "signatures")
-    members_of = signed.where("part IS NULL").select("doc_id", "sig", "n", "bins")
+    signed = written(texts.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bits array<bigint>, part int, counts binary"), "signatures")
+    members_of = signed.where("part IS NULL").select("doc_id", "sig", "n", "bits")
     members = members_of.select("doc_id", "sig", "n")
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +216,13 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
         short = place <= small - F.ceil(small * (2 * percent) / F.lit(100.0 + percent) - 1e-9)
         return lengths & (most >= need(a_n, b_n)) & short
 
-    # One row a class: its size, its bins and the first document that has its set.
-    classes = written(members_of.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
+    # One row a class: its size, its parities and the first document that has its set.
+    classes = written(members_of.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+
+    def close(a: str, b: str):
+        """Parity filter: no more bits differ than elements of similar sets may."""
+        differ = sum((F.bit_count(F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+        return differ <= F.col(f"{a}_n") + F.col(f"{b}_n") - 2 * need(f"{a}_n", f"{b}_n")
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,10 +230,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()), id_rows([g for _, g in rows], "<u8")], ["sig", "grams"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that are similar: suffix filter on counts by bin, then on the sets, then the overlap itself."""
-        left, right = (classes.select(F.col("sig").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("n", "bins", "doc"))) for k in "ab")
-        apart = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        near = pairs.join(left, "a").join(right, "b").where(apart <= F.col("a_n") + F.col("b_n") - 2 * need("a_n", "b_n"))
+        """Pairs (a, b) that are similar: parity filter, then suffix filter on the sets, then the overlap itself."""
+        left, right = (classes.select(F.col("sig").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("n", "bits", "doc"))) for k in "ab")
+        near = pairs.join(left, "a").join(right, "b").where(close("a", "b"))
         near = written(near.select("a", "b", "a_doc", "b_doc"), "near-pairs")
         # Only the documents of these pairs are read again. Spark broadcasts their ids while the files are small.
         wanted = written(near.select(F.col("a_doc").alias("doc_id")).union(near.select("b_doc")).distinct().sort("doc_id"), "near-documents")
@@ -276,14 +285,24 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
     tried = tried.union(again)
 
     # What is still apart: pairs of one n-gram whose components differ, at least one outside the leader's.
+    # The parity filter works inside this join, so that only pairs that are close come out of it. Where both
+    # have the same n-gram before this one, the pair comes out there, or some filter has proved it dissimilar.
     placed = placed_in(links, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
-    outside = placed.where("sig_root != l_sig_root").select("gram", F.col("sig").alias("x"), F.col("n").alias("x_n"), F.col("place").alias("x_place"), F.col("sig_root").alias("x_root"))
-    others = placed.where("sig != l_sig").select("gram", F.col("sig").alias("y"), F.col("n").alias("y_n"), F.col("place").alias("y_place"), F.col("sig_root").alias("y_root"), (F.col("sig_root") != F.col("l_sig_root")).alias("y_out"))
+    placed = placed.withColumn("out", F.col("sig_root") != F.col("l_sig_root")).withColumn("any_out", F.max("out").over(by_gram)).where("any_out").drop("any_out", "l_sig_root")
+    placed = placed.withColumn("before", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")))
+    placed = written(placed.join(classes.select("sig", "bits"), "sig"), "apart-prefixes")
+    outside, others = (side.select("gram", *(F.col(c).alias(f"{k}_{c}") for c in ("sig", "n", "place", "sig_root", "out", "before", "bits"))) for k, side in (("x", placed.where("out")), ("y", placed.where("sig != l_sig"))))
+    new = ~F.col("x_before").eqNullSafe(F.col("y_before")) | F.col("x_before").isNull()
     apart = outside.join(
         others,
-        (outside["gram"] == others["gram"]) & (F.col("x_root") != F.col("y_root")) & (~F.col("y_out") | (F.col("x") < F.col("y"))) & promising("x_n", "x_place", "y_n", "y_place"),
+        (outside["gram"] == others["gram"])
+        & (F.col("x_sig_root") != F.col("y_sig_root"))
+        & (~F.col("y_out") | (F.col("x_sig") < F.col("y_sig")))
+        & new
+        & promising("x_n", "x_place", "y_n", "y_place")
+        & close("x", "y"),
     )
-    rest = apart.select(*pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = apart.select(*pair("x_sig", "y_sig")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.union(written(verified(rest), "other-links"))
 
     # From classes back to documents. A document with several texts joins their components.
