@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata.operators import conform
+from tristrata.operators import upkeep
 from tristrata.operators.upkeep import compact, compact_day, day_files, maintain
 from tristrata.plans.contracts import SILVER
 from tristrata.plans.silver import SilverConfig, run_silver
@@ -263,6 +264,64 @@ def test_compact_touches_fragmented_days_only(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == before
 
 
+def test_compaction_keeps_what_is_appended_meanwhile(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    fragmented(spark, path)
+    replace = upkeep._replace_files
+
+    def append_first(*args):
+        append_silver(silver_rows(spark, 10, 1), path)
+        return replace(*args)
+
+    monkeypatch.setattr(upkeep, "_replace_files", append_first)
+    assert compact_day(spark, path, date(2024, 1, 1)) == 300
+    assert spark.read.parquet(path).count() == 610
+    assert compact(spark, path) == 610
+    assert spark.read.parquet(path).count() == 620
+
+
+def test_compaction_gives_way_to_a_reload(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    fragmented(spark, path)
+    replace = upkeep._replace_files
+
+    def reload_first(rows, *args):
+        kept = spark.createDataFrame(rows.collect(), rows.schema)
+        reload_silver(silver_rows(spark, 3, 1), path)
+        return replace(kept, *args)
+
+    monkeypatch.setattr(upkeep, "_replace_files", reload_first)
+    with pytest.raises(RuntimeError, match="were replaced during the compaction"):
+        compact(spark, path)
+    assert spark.read.parquet(path).count() == 303
+    assert not list((tmp_path / "t").glob("_compacting-*"))
+
+
+def test_a_stopped_swap_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    fragmented(spark, path)
+    before = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    with monkeypatch.context() as stopped:
+        finish, calls = upkeep.finish_compactions, []
+        stopped.setattr(upkeep, "finish_compactions", lambda *args: calls.append(1) or (finish(*args) if len(calls) == 1 else None))
+        compact(spark, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == before
+    upkeep.finish_compactions(spark, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == before
+    assert sum(r.files for r in day_files(spark, path).collect()) == 2
+
+
+def test_compaction_keeps_the_batches_of_a_stream(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(2):
+        rows = silver_rows(spark, 40, 1).selectExpr("*", "to_date(ingested_at) AS ingest_day", f"{batch} AS batch")
+        rows.repartition(4).write.mode("append").partitionBy("ingest_day", "batch").parquet(path)
+    assert compact(spark, path) == 80
+    stored = spark.read.parquet(path)
+    assert {r.batch: r["count"] for r in stored.groupBy("batch").count().collect()} == {0: 40, 1: 40}
+    assert day_files(spark, path).first().files == 2
+
+
 def test_maintain_reports(spark, tmp_path):
     paths = {name: str(tmp_path / name) for name in ("a", "b")}
     for path in paths.values():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -12,14 +13,16 @@ from pyspark.sql import functions as F
 from tristrata.sources.sinks import INGEST_DAY
 
 TARGET_BYTES = 128 * 1024 * 1024
+#: Prefix of the folder, hidden from readers, that a compaction writes to first.
+STAGED = "_compacting-"
 REPORT = (
     "table string, days int, files_before long, files_after long, "
     "bytes_before long, bytes_after long, rows long"
 )
 
 
-def day_files(spark: SparkSession, path: str, day: date | None = None) -> DataFrame:
-    """Files and bytes per load day: (ingest_day, files, bytes). Reads no data."""
+def _listing(spark: SparkSession, path: str, day: date | None = None) -> DataFrame:
+    """Data files with their partition columns: (path, length, ...). Reads no data."""
     root = path.rstrip("/")
     files = (
         spark.read.format("binaryFile")
@@ -27,9 +30,16 @@ def day_files(spark: SparkSession, path: str, day: date | None = None) -> DataFr
         .option("pathGlobFilter", "*.parquet")
         .load(root if day is None else f"{root}/{INGEST_DAY}={day.isoformat()}")
     )
-    return files.groupBy(F.col(INGEST_DAY).cast("date").alias(INGEST_DAY)).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
+    return files.drop("content", "modificationTime").withColumn(INGEST_DAY, F.col(INGEST_DAY).cast("date"))
+
+
+def _sizes(files: DataFrame, by: Sequence[str]) -> DataFrame:
+    return files.groupBy(*by).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def day_files(spark: SparkSession, path: str, day: date | None = None) -> DataFrame:
+    """Files and bytes per load day: (ingest_day, files, bytes). Reads no data."""
+    return _sizes(_listing(spark, path, day), [INGEST_DAY])
 
 
 def fragmented_days(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
@@ -38,17 +48,55 @@ def fragmented_days(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataF
     return files.withColumn("wanted", wanted).where(F.col("files") > F.col("wanted"))
 
 
-def _replace_days(rows: DataFrame, path: str) -> int:
-    # New files are staged and take the place of the day only when the whole
-    # job has succeeded; lost tasks are run again from the untouched old files.
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path and the constructor of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def finish_compactions(spark: SparkSession, path: str) -> None:
+    """Complete the swap of compactions that were stopped in the middle.
+
+    A compaction with a complete record has written all its files: what is not
+    in place yet is moved there, then the replaced files go. One without a
+    record has changed nothing, and its staged files are dropped. Each step can
+    be repeated.
+    """
+    fs, make = _hadoop(spark, path)
+    if not fs.exists(make(path)):
+        return
+    for stage in [s.getPath() for s in fs.listStatus(make(path)) if s.getPath().getName().startswith(STAGED)]:
+        if fs.exists(make(stage, "_replaced/_SUCCESS")):
+            replaced = spark.read.parquet(f"{stage.toString()}/_replaced").collect()
+            data = make(stage, "data")
+            base, found = len(fs.makeQualified(data).toString()) + 1, fs.listFiles(data, True)
+            while found.hasNext():
+                file = found.next().getPath()
+                if file.getName().endswith(".parquet"):
+                    target = make(path, fs.makeQualified(file).toString()[base:])
+                    fs.mkdirs(target.getParent())
+                    if not fs.rename(file, target):
+                        raise OSError(f"{file.toString()} could not be moved to {target.toString()}")
+            for r in replaced:
+                fs.delete(make(r.path), False)
+        fs.delete(stage, True)
+    spark.catalog.refreshByPath(path)
+
+
+def _replace_files(rows: DataFrame, path: str, files: Sequence[str], parts: Sequence[str]) -> int:
+    spark = rows.sparkSession
+    stage = f"{path.rstrip('/')}/{STAGED}{uuid.uuid4().hex}"
     counted = Observation()
-    (
-        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(INGEST_DAY)
-        .parquet(path)
-    )
+    rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*parts).parquet(f"{stage}/data")
+    fs, make = _hadoop(spark, path)
+    gone = [f for f in files if not fs.exists(make(f))]
+    if gone or not counted.get["rows"]:
+        fs.delete(make(stage), True)
+        if gone:
+            raise RuntimeError(f"{len(gone)} files of {path} were replaced during the compaction, e.g. {gone[0]}")
+        return 0
+    spark.createDataFrame([(f,) for f in files], "path string").coalesce(1).write.parquet(f"{stage}/_replaced")
+    finish_compactions(spark, path)
     return counted.get["rows"]
 
 
@@ -59,14 +107,11 @@ def compact_day(
 
     Spark packs small files into scan tasks of bounded size, and merging those
     tasks needs no shuffle: the rows of a day are read and written once, by as
-    many tasks as there are files to write.
+    many tasks as there are files to write. See ``compact`` for what happens to
+    loads that arrive meanwhile.
     """
-    totals = day_files(spark, path, day).first()
-    if totals is None:
-        return 0
-    n = max(1, math.ceil(totals["bytes"] / target_bytes))
-    rows = spark.read.parquet(path).where(F.col(INGEST_DAY) == F.lit(day))
-    return _replace_days(rows.coalesce(n), path)
+    finish_compactions(spark, path)
+    return _compact(spark, path, _listing(spark, path, day), target_bytes, one_day=True)
 
 
 def compact(
@@ -77,19 +122,42 @@ def compact(
 ) -> int:
     """Compact every fragmented day of a table in one job; returns rows rewritten.
 
-    Days already stored in few enough files are not touched. The scan mixes
+    Days already stored in few enough files are not touched, and further
+    partition columns (the batch of a streamed table) stay. The scan mixes
     days in a task, so rows are rebalanced by day first: adaptive execution
     merges small days into one task and splits a day that is large. The driver
-    holds the dates of the days only.
+    holds the paths of the files to be replaced, as the scan of them does.
+
+    Only the files that were listed are read and replaced: a load appended
+    meanwhile stays as it is. If one of them has gone when the new files are
+    written, as after a reload of its day, nothing is changed and the
+    compaction raises. New files are in place before old ones go, so a reader
+    of that moment may see rows twice, but none is ever missing;
+    ``finish_compactions`` completes a swap that was stopped. One compaction
+    at a time may run on a table.
     """
-    files = day_files(spark, path)
+    finish_compactions(spark, path)
+    files = _listing(spark, path)
     if since is not None:
         files = files.where(F.col(INGEST_DAY) >= F.lit(since))
-    days = [r[0] for r in fragmented_days(files, target_bytes).select(INGEST_DAY).collect()]
-    if not days:
+    return _compact(spark, path, files, target_bytes)
+
+
+def _compact(spark: SparkSession, path: str, files: DataFrame, target_bytes: int, one_day: bool = False) -> int:
+    parts = [c for c in files.columns if c not in ("path", "length")]
+    sizes = _sizes(files, parts)
+    wanted = sizes if one_day else fragmented_days(sizes, target_bytes)
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts]
+    chosen = files.alias("f").join(wanted.alias("w"), same, "left_semi").select("path", "length").collect()
+    if not chosen:
         return 0
-    rows = spark.read.parquet(path).where(F.col(INGEST_DAY).isin(days))
-    return _replace_days(rows.hint("rebalance", F.col(INGEST_DAY)), path)
+    names = [r.path for r in chosen]
+    rows = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*names)
+    if one_day:
+        rows = rows.coalesce(max(1, math.ceil(sum(r.length for r in chosen) / target_bytes)))
+    else:
+        rows = rows.hint("rebalance", *(F.col(c) for c in parts))
+    return _replace_files(rows, path, names, parts)
 
 
 def maintain(
