@@ -113,6 +113,8 @@ def test_gold_run_fails_on_bad_data(spark, sf_dir, tmp_path):
     cfg = GoldConfig(f"{base}/silver", f"{base}/gold", f"{base}/snapshots")
     with pytest.raises(ChecksFailed, match="fact_vitals.vital_id not_null"):
         run_gold(spark, cfg, run_ts(2))
+    stored = spark.read.parquet(*map(str, tmp_path.glob("gold/build=*/check_report")))
+    assert stored.where("NOT passed").count() > 0
 
 
 def test_gold_run_into_a_database(spark, sf_dir, tmp_path):

@@ -37,6 +37,9 @@ BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
 }
 
 
+REPORT_TABLE = "check_report"
+
+
 @dataclass(frozen=True)
 class GoldConfig:
     """Where a gold run reads and writes.
@@ -102,7 +105,8 @@ def build_tables(
 def run_gold(spark: SparkSession, cfg: GoldConfig, run_ts: datetime) -> tuple[Tables, DataFrame]:
     """Snapshot, rebuild every gold table and check it.
 
-    Returns the stored tables and the check report. A run into a folder writes
+    Returns the stored tables and the check report, which is stored beside them
+    as ``check_report``, also when checks fail. A run into a folder writes
     ``build=<run>`` next to earlier builds and raises when a check fails, so a
     reader can stay on the last build that passed.
     """
@@ -111,6 +115,7 @@ def run_gold(spark: SparkSession, cfg: GoldConfig, run_ts: datetime) -> tuple[Ta
     place = f"{cfg.gold}/build={run_id(run_ts)}" if "/" in cfg.gold else cfg.gold
     out = Tables(spark, place)
     built = build_tables(spark, inputs, out, threads=cfg.threads, layout=cfg.layout)
-    report = run_checks(built, GOLD_CHECKS)
+    # Stored before it is judged, so that a failed run can be read up; the checks run once.
+    report = out.publish(run_checks(built, GOLD_CHECKS), REPORT_TABLE)
     require_passed(report)
     return out, report
