@@ -132,6 +132,28 @@ def test_documents_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+def test_every_link_against_brute_force(spark):
+    alike = [" ".join(f"v{i}" for i in range(60)) + f" end{k}" for k in range(16)]
+    texts = documents()[:60] + alike + ["", None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (1, texts[50]), (1, texts[3]), (2, alike[4]), (3, alike[5]), (3, alike[6]), (None, texts[2]), (None, texts[2])]
+    docs = [(k if d is None else f"d{d}", word_set(t)) for k, (d, t) in enumerate(rows)]
+    links, similar = {}, set()
+    for (a, x), (b, y) in combinations(docs, 2):
+        if x and 100 * len(x & y) >= 80 * len(x | y):
+            similar |= {frozenset((x, y))} if x != y else set()
+            if a != b:
+                links.setdefault(a, set()).add(b)
+                links.setdefault(b, set()).add(a)
+    joined = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), block=4)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_links) for r in joined.members.collect())
+    assert got == sorted((int(k[1:]) if isinstance(k, str) else -1, len(links.get(k, ()))) for k, _ in docs)
+    pairs = joined.links.collect()
+    assert len(pairs) == len({frozenset((r.a, r.b)) for r in pairs}) == len(similar) > 100
+    few = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), groups_only=True)
+    assert few.links.count() < len(pairs) and "n_links" not in few.members.columns
+    assert {(r.doc_id, r.component_id) for r in few.members.collect()} == {(r.doc_id, r.component_id) for r in joined.members.collect()}
+
+
 def test_no_documents(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).members.count() == 0
 

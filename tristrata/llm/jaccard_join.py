@@ -2,10 +2,11 @@
 
 Documents with equal sets are one class from the start, so copies never meet.
 Classes are joined on the rarest n-grams of their sets; candidate pairs pass
-length, positional and suffix filters and are verified once on their sets. Only
-links between different components are of use for grouping, so each n-gram
-first links its classes to one leader; whatever is still apart afterwards is
-compared pair by pair. No group is ever expanded into all of its pairs.
+length, positional, parity and suffix filters and are verified once on their
+sets. The join gives every link and counts the links of each document. Callers
+that want groups alone get them by a shorter way: each n-gram first links its
+classes to one leader, and whatever is still apart afterwards is compared pair
+by pair, so that no group is expanded into all of its pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ COUNTER_ROWS = 256
 PARITY_BITS = 512
 _FOLD = np.uint64(0x9FB21C651E98DF25)
 _SEEN = 1 << 17
+#: Classes of one n-gram that meet in one part of the join; more are dealt into blocks.
+BLOCK = 1024
 
 
 def ngram_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -103,21 +106,29 @@ def suffix_apart(x: np.ndarray, y: np.ndarray, most: int, depth: int = 3) -> boo
 
 @dataclass
 class Joined:
-    """What the join found. ``members``: (doc_id, n_shingles, class, component) of every row; ``links``: verified pairs of classes."""
+    """What the join found.
+
+    ``members``: (doc_id, n_shingles, class, component_id) of every row, and
+    n_links unless groups alone were asked for. ``links``: all pairs (a, b) of
+    similar classes; for groups alone, as many as hold the groups together.
+    """
 
     members: DataFrame
     links: DataFrame
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
-    """Groups of documents whose sets of word n-grams have a Jaccard similarity of ``percent`` / 100 or more.
+def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bool = False, block: int = BLOCK) -> Joined:
+    """Links and groups of documents whose sets of word n-grams have a Jaccard similarity of ``percent`` / 100 or more.
 
     ``docs`` has doc_id (integer) and text; other columns are not read. ASCII
     letters are lowered, words end at ASCII white space. A null text, or one
     without words, has an empty set and links with nothing, not even with
     another empty one: its class is null and its component itself. Rows with
     the same doc_id are the same document; if their texts differ, all of them
-    count for it. An empty table gives empty results.
+    count for it. ``n_links`` counts the other documents that a document is
+    linked to, copies included, each once; rows with a null doc_id are a
+    document each. ``groups_only`` leaves out ``n_links`` and the links that
+    groups don't need. An empty table gives empty results.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -260,10 +271,6 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    to_leader = found.where(F.col("sig") != F.col("l_sig")).where(promising("n", "place", "l_n", "l_place"))
-    tried = written(to_leader.select(*pair("sig", "l_sig")).distinct(), "leader-pairs")
-    links = written(verified(tried), "leader-links")
-
     def placed_in(links: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
         """``rows`` with the component of each class column."""
         root = components(links)
@@ -272,38 +279,62 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
             rows = rows.withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
         return rows
 
-    # A second round where an n-gram still has several components: other leaders,
-    # a different one for each eighth of the n-grams, so that a group whose members
-    # are not all similar to one leader hangs together through several.
-    rows = placed_in(links, found.select("gram", "sig", "n", "place"), "sig")
-    rows = rows.withColumn("mixed", F.min("sig_root").over(by_gram) != F.max("sig_root").over(by_gram)).where("mixed")
-    second = F.min(F.struct(F.xxhash64("sig", F.pmod("gram", F.lit(8))).alias("h"), "sig", "n", "place", "sig_root")).over(by_gram)
-    rows = written(rows.withColumn("lead", second).select("gram", "sig", "n", "place", *(F.col(f"lead.{c}").alias(f"l_{c}") for c in ("sig", "n", "place", "sig_root")), "sig_root"), "mixed-prefixes")
-    again = rows.where(F.col("sig_root") != F.col("l_sig_root")).where(promising("n", "place", "l_n", "l_place")).select(*pair("sig", "l_sig")).distinct()
-    again = written(again.join(tried, ["a", "b"], "left_anti"), "second-pairs")
-    links = written(links.union(verified(again)), "second-links")
-    tried = tried.union(again)
-
-    # What is still apart: pairs of one n-gram whose components differ, at least one outside the leader's.
-    # The parity filter works inside this join, so that only pairs that are close come out of it. Where both
-    # have the same n-gram before this one, the pair comes out there, or some filter has proved it dissimilar.
-    placed = placed_in(links, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
-    placed = placed.withColumn("out", F.col("sig_root") != F.col("l_sig_root")).withColumn("any_out", F.max("out").over(by_gram)).where("any_out").drop("any_out", "l_sig_root")
-    placed = placed.withColumn("before", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")))
-    placed = written(placed.join(classes.select("sig", "bits"), "sig"), "apart-prefixes")
-    outside, others = (side.select("gram", *(F.col(c).alias(f"{k}_{c}") for c in ("sig", "n", "place", "sig_root", "out", "before", "bits"))) for k, side in (("x", placed.where("out")), ("y", placed.where("sig != l_sig"))))
-    new = ~F.col("x_before").eqNullSafe(F.col("y_before")) | F.col("x_before").isNull()
-    apart = outside.join(
-        others,
-        (outside["gram"] == others["gram"])
-        & (F.col("x_sig_root") != F.col("y_sig_root"))
-        & (~F.col("y_out") | (F.col("x_sig") < F.col("y_sig")))
-        & new
-        & promising("x_n", "x_place", "y_n", "y_place")
-        & close("x", "y"),
-    )
-    rest = apart.select(*pair("x_sig", "y_sig")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(written(verified(rest), "other-links"))
+    def all_links() -> DataFrame:
+        """Every similar pair of classes. A pair comes out at its first common n-gram: where both have the same one before, it came out there or is dissimilar."""
+        rows = found.select("gram", "sig", "n", "place", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")).alias("before"))
+        rows = rows.withColumn("m", F.ceil(F.count("*").over(by_gram) / block).cast("int")).join(classes.select("sig", "bits"), "sig")
+        rows = written(rows.withColumn("part", F.pmod(F.xxhash64("sig"), "m").cast("int")), "prefixes-in-blocks")
+        # Every block of an n-gram meets every other one and itself, each pair of blocks on its own.
+        met = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+        left, right = (
+            rows.withColumn("other", met).select("gram", F.col(i).alias("i"), F.col(j).alias("j"), *(F.col(c).alias(f"{k}_{c}") for c in ("sig", "n", "place", "before", "bits")))
+            for k, i, j in (("x", "part", "other"), ("y", "other", "part"))
+        )
+        new = ~F.col("x_before").eqNullSafe(F.col("y_before")) | F.col("x_before").isNull()
+        keys = [left[c] == right[c] for c in ("gram", "i", "j")]
+        near = left.join(right, [*keys, (F.col("x_sig") < F.col("y_sig")) & new & promising("x_n", "x_place", "y_n", "y_place") & close("x", "y")])
+        return written(verified(near.select(F.col("x_sig").alias("a"), F.col("y_sig").alias("b")).distinct()), "links")
+
+    def group_links() -> DataFrame:
+        """Links between different components, as they are found: enough for the groups."""
+        to_leader = found.where(F.col("sig") != F.col("l_sig")).where(promising("n", "place", "l_n", "l_place"))
+        tried = written(to_leader.select(*pair("sig", "l_sig")).distinct(), "leader-pairs")
+        links = written(verified(tried), "leader-links")
+
+        # A second round where an n-gram still has several components: other leaders,
+        # a different one for each eighth of the n-grams, so that a group whose members
+        # are not all similar to one leader hangs together through several.
+        rows = placed_in(links, found.select("gram", "sig", "n", "place"), "sig")
+        rows = rows.withColumn("mixed", F.min("sig_root").over(by_gram) != F.max("sig_root").over(by_gram)).where("mixed")
+        second = F.min(F.struct(F.xxhash64("sig", F.pmod("gram", F.lit(8))).alias("h"), "sig", "n", "place", "sig_root")).over(by_gram)
+        rows = written(rows.withColumn("lead", second).select("gram", "sig", "n", "place", *(F.col(f"lead.{c}").alias(f"l_{c}") for c in ("sig", "n", "place", "sig_root")), "sig_root"), "mixed-prefixes")
+        again = rows.where(F.col("sig_root") != F.col("l_sig_root")).where(promising("n", "place", "l_n", "l_place")).select(*pair("sig", "l_sig")).distinct()
+        again = written(again.join(tried, ["a", "b"], "left_anti"), "second-pairs")
+        links = written(links.union(verified(again)), "second-links")
+        tried = tried.union(again)
+
+        # What is still apart: pairs of one n-gram whose components differ, at least one outside the leader's.
+        # The parity filter works inside this join, so that only pairs that are close come out of it. Where both
+        # have the same n-gram before this one, the pair comes out there, or some filter has proved it dissimilar.
+        placed = placed_in(links, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
+        placed = placed.withColumn("out", F.col("sig_root") != F.col("l_sig_root")).withColumn("any_out", F.max("out").over(by_gram)).where("any_out").drop("any_out", "l_sig_root")
+        placed = placed.withColumn("before", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")))
+        placed = written(placed.join(classes.select("sig", "bits"), "sig"), "apart-prefixes")
+        outside, others = (side.select("gram", *(F.col(c).alias(f"{k}_{c}") for c in ("sig", "n", "place", "sig_root", "out", "before", "bits"))) for k, side in (("x", placed.where("out")), ("y", placed.where("sig != l_sig"))))
+        new = ~F.col("x_before").eqNullSafe(F.col("y_before")) | F.col("x_before").isNull()
+        apart = outside.join(
+            others,
+            (outside["gram"] == others["gram"])
+            & (F.col("x_sig_root") != F.col("y_sig_root"))
+            & (~F.col("y_out") | (F.col("x_sig") < F.col("y_sig")))
+            & new
+            & promising("x_n", "x_place", "y_n", "y_place")
+            & close("x", "y"),
+        )
+        rest = apart.select(*pair("x_sig", "y_sig")).distinct().join(tried, ["a", "b"], "left_anti")
+        return links.union(written(verified(rest), "other-links"))
+
+    links = group_links() if groups_only else all_links()
 
     # From classes back to documents. A document with several texts joins their components.
     texts_of = members.where("n > 0").select(F.col("sig").alias("a"), F.min("sig").over(Window.partitionBy("doc_id")).alias("b"))
@@ -312,8 +343,39 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> Joined:
     placed = members.join(root.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     placed = placed.join(least, "root", "left")
-    result = placed.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sig")).alias("class"), F.coalesce("least", "doc_id").alias("component_id"))
-    return Joined(result, links)
+    columns = ["doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sig")).alias("class"), F.coalesce("least", "doc_id").alias("component_id")]
+    if groups_only:
+        return Joined(placed.select(columns), links)
+    return Joined(_count_links(placed, links).select(*columns, F.coalesce("n_links", F.lit(0)).alias("n_links")), links)
+
+
+def _count_links(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with n_links, the number of other documents in the class of a document or in linked ones.
+
+    Documents with one class are counted as numbers by class; those with
+    several, whose classes may have the same neighbours, one by one.
+    """
+    own = members.where("n > 0").select("doc_id", "sig")
+    own = own.where("doc_id IS NOT NULL").distinct().union(own.where("doc_id IS NULL"))
+    of_doc = Window.partitionBy("doc_id")
+    own = own.withColumn("several", F.col("doc_id").isNotNull() & (F.min("sig").over(of_doc) != F.max("sig").over(of_doc)))
+    own = written(own, "classes-of-documents")
+    single = own.where("NOT several").groupBy(F.col("sig").alias("other")).agg(F.count("*").alias("copies"))
+    several = own.where("several").select("doc_id", "sig")
+    met_by = several.select(F.col("sig").alias("other"), F.col("doc_id").alias("met"))
+    near = links.select(F.col("a").alias("sig"), F.col("b").alias("other")).union(links.select(F.col("b"), F.col("a")))
+    near = near.union(own.select("sig", F.col("sig").alias("other")).distinct())
+
+    counted = near.join(single, "other").groupBy("sig").agg(F.sum("copies").alias("singles"))
+    others = near.join(met_by, "other").select("sig", "met").distinct().groupBy("sig").agg(F.count("*").alias("severals"))
+    by_class = own.select("sig").distinct().join(counted, "sig", "left").join(others, "sig", "left")
+    by_class = by_class.select("sig", (F.coalesce("singles", F.lit(0)) + F.coalesce("severals", F.lit(0)) - 1).alias("class_links"))
+
+    reached = several.join(near, "sig").select("doc_id", "other").distinct()
+    counted = reached.join(single, "other").groupBy("doc_id").agg(F.sum("copies").alias("singles"))
+    others = reached.join(met_by, "other").select("doc_id", "met").distinct().groupBy("doc_id").agg((F.count("*") - 1).alias("severals"))
+    by_doc = others.join(counted, "doc_id", "left").select("doc_id", (F.col("severals") + F.coalesce("singles", F.lit(0))).alias("doc_links"))
+    return members.join(by_class, "sig", "left").join(by_doc, "doc_id", "left").withColumn("n_links", F.coalesce("doc_links", F.when(F.col("n") > 0, F.col("class_links"))))
 
 
 def kept_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -322,7 +384,7 @@ def kept_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Documents without words stay. Of rows with the same doc_id one stays; a null
     doc_id can't be told apart from another and all such rows stay.
     """
-    joined = jaccard_join(docs, n, percent).members
+    joined = jaccard_join(docs, n, percent, groups_only=True).members
     keep = joined.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     known = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)

@@ -48,7 +48,7 @@ def op7_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).members.select("doc_id", "n_shingles", "component_id")
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), groups_only=True).members.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
