@@ -60,6 +60,28 @@ def test_chat_layouts(spark):
     assert set(digests) == {0, 1, 2, 3, 4} and digests[3].loss_chars == 4 and digests[1].n_turns == 3
 
 
+def test_chat_layouts_with_fields_of_others(spark):
+    turns = [{"role": "user", "content": "u"}, {"role": "assistant", "content": "a"}]
+    said = [{"from": "human", "value": "u"}, {"from": "gpt", "value": "a"}]
+    records = [
+        {"instruction": "u", "input": "more", "output": "a", "text": "### u more a"},
+        {"messages": turns, "system": "s"},
+        {"conversations": said, "system": "s"},
+        {"prompt": "u", "response": "a", "input": "more"},
+        {"prompt": "u", "completion": "a", "system": "s", "text": "x"},
+        {"prompt": "u", "note": "of no layout"},
+    ]
+    rows = [(i, json.dumps(r)) for i, r in enumerate(records)] + [(6, "{"), (7, None)]
+    chats = chat.format_chat(chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, record string")))
+    got = {}
+    for r in chats.orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+        assert r.record == (rows[r.conv_id][1] if r.conv_id >= 5 else None)
+    system, user, answer = ("system", "s"), ("user", "u"), ("assistant", "a")
+    assert [got[i] for i in range(5)] == [[("user", "u\nmore"), answer], [system, user, answer], [system, user, answer], [("user", "u\nmore"), answer], [system, user, answer]]
+    assert {r.conv_id: r.n_turns for r in chat.read_back(chats).collect()} == {0: 2, 1: 3, 2: 3, 3: 2, 4: 3}
+
+
 def test_fingerprints_ignore_values_and_other_fields():
     layouts = chat.Layouts()
     a = layouts.of({"prompt": "x", "response": None, "score": 3})

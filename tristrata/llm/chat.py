@@ -1,8 +1,9 @@
 """Chat formatting by schema fingerprints.
 
 Records of unlike layouts (prompt and response, instruction and output, lists of
-messages, one row a turn) come as JSON. The paths of a record's fields are
-hashed; the hash picks a declarative mapping, which says where the turns are.
+messages, one row a turn) come as JSON. The paths of a record's fields that a
+declarative mapping knows are hashed; the first mapping that has this hash says
+where the turns are.
 Canonical turns are then written in one template that can be read back exactly.
 """
 
@@ -32,9 +33,10 @@ class Mapping:
     """Where a layout keeps its turns.
 
     ``paths`` must all be there, ``optional`` may be; other fields of a record
-    are of no account. Either ``items`` names the list of messages, with the
-    fields of ``role`` and ``text`` inside it, or ``turns`` lists (role, fields)
-    whose texts are joined, or ``row`` holds for records that are one turn each.
+    are of no account, whatever they are in other mappings. Either ``items`` names the list of messages, with the
+    fields of ``role`` and ``text`` inside it, after the (role, fields) of
+    ``turns``, or ``turns`` alone says where they are; texts of several fields
+    are joined. ``row`` holds for records that are one turn each.
     """
 
     name: str
@@ -48,14 +50,15 @@ class Mapping:
     row: bool = False
 
 
+# In the order of precedence: a record that fits several is read by the first.
 MAPPINGS = (
     Mapping("turn rows", ("role", "text", "turn"), row=True, role="role", text="text", order="turn"),
-    Mapping("prompt", ("prompt", "response"), ("system",), turns=(("system", ("system",)), ("user", ("prompt",)), (ASSISTANT, ("response",)))),
-    Mapping("completion", ("prompt", "completion"), turns=(("user", ("prompt",)), (ASSISTANT, ("completion",)))),
+    Mapping("prompt", ("prompt", "response"), ("system", "input"), turns=(("system", ("system",)), ("user", ("prompt", "input")), (ASSISTANT, ("response",)))),
+    Mapping("completion", ("prompt", "completion"), ("system", "input"), turns=(("system", ("system",)), ("user", ("prompt", "input")), (ASSISTANT, ("completion",)))),
     Mapping("instruction", ("instruction", "output"), ("input", "system"), turns=(("system", ("system",)), ("user", ("instruction", "input")), (ASSISTANT, ("output",)))),
-    Mapping("question", ("question", "answer"), turns=(("user", ("question",)), (ASSISTANT, ("answer",)))),
-    Mapping("messages", ("messages", "messages[]", "messages[].content", "messages[].role"), items="messages", role="role", text="content"),
-    Mapping("conversations", ("conversations", "conversations[]", "conversations[].from", "conversations[].value"), items="conversations", role="from", text="value"),
+    Mapping("question", ("question", "answer"), ("system",), turns=(("system", ("system",)), ("user", ("question",)), (ASSISTANT, ("answer",)))),
+    Mapping("messages", ("messages", "messages[]", "messages[].content", "messages[].role"), ("system",), turns=(("system", ("system",)),), items="messages", role="role", text="content"),
+    Mapping("conversations", ("conversations", "conversations[]", "conversations[].from", "conversations[].value"), ("system",), turns=(("system", ("system",)),), items="conversations", role="from", text="value"),
 )
 
 
@@ -77,18 +80,22 @@ def fingerprint(paths) -> str:
 
 
 class Layouts:
-    """Mappings by the fingerprint of every set of paths they stand for."""
+    """Mappings by the fingerprints of the sets of paths they stand for, in the order of precedence."""
 
     def __init__(self, mappings: tuple[Mapping, ...] = MAPPINGS):
         self.known = {p for m in mappings for p in (*m.paths, *m.optional)}
-        self.by_print: dict[str, Mapping] = {}
+        self.prints: list[tuple[Mapping, set[str], set[str]]] = []
         for m in mappings:
-            for some in chain.from_iterable(combinations(m.optional, n) for n in range(len(m.optional) + 1)):
-                self.by_print.setdefault(fingerprint({*m.paths, *some}), m)
+            some = chain.from_iterable(combinations(m.optional, n) for n in range(len(m.optional) + 1))
+            self.prints.append((m, {*m.paths, *m.optional}, {fingerprint({*m.paths, *s}) for s in some}))
 
     def of(self, record) -> tuple[str, Mapping | None]:
-        print_ = fingerprint(field_paths(record) & self.known)
-        return print_, self.by_print.get(print_)
+        """Fingerprint and mapping of a record; each mapping sees its own paths only. Without one, that of all known paths."""
+        paths = field_paths(record)
+        for mapping, own, prints in self.prints:
+            if (print_ := fingerprint(paths & own)) in prints:
+                return print_, mapping
+        return fingerprint(paths & self.known), None
 
 
 def _text(value) -> str:
@@ -102,18 +109,16 @@ def turns_of(record, mapping: Mapping) -> list[tuple[int, str, str]]:
     if mapping.row:
         order = record.get(mapping.order) if mapping.order else None
         return [(order if isinstance(order, int) else None, _text(record.get(mapping.role)), _text(record.get(mapping.text)))]
-    if mapping.items:
-        out = []
-        for k, item in enumerate(record[mapping.items]):
-            role = _text(item.get(mapping.role))
-            out.append((k, ROLES.get(role, role), _text(item.get(mapping.text))))
-        return out
     out = []
     for role, fields in mapping.turns:
         texts = [_text(record[f]) for f in fields if record.get(f) is not None]
         texts = [t for t in texts if t] or texts[:1]
         if texts or role == ASSISTANT:
             out.append((len(out), role, "\n".join(texts)))
+    if mapping.items:
+        for item in record[mapping.items]:
+            role = _text(item.get(mapping.role))
+            out.append((len(out), ROLES.get(role, role), _text(item.get(mapping.text))))
     return out
 
 
@@ -148,11 +153,12 @@ def read_turn(formatted: str) -> tuple[str, str]:
 
 
 def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(conv_id, layout, fingerprint, turn, role, text) of every turn of every record.
+    """(conv_id, layout, fingerprint, turn, role, text, record) of every turn of every record.
 
     ``records`` has conv_id and record, a JSON object as text; other columns are
     not read. A record that is null, no JSON object, or of no known layout is one
-    row with a null layout, role and text, never dropped. A known layout without
+    row with a null layout, role and text, never dropped; ``record`` keeps it as
+    it came, and is null in rows of known layouts. A known layout without
     turns (an empty list has another fingerprint) doesn't occur. Repeated records
     give repeated turns.
     """
@@ -168,24 +174,24 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
                 except ValueError:
                     record = None
                 print_, mapping = layouts.of(record) if isinstance(record, dict) else (None, None)
-                found = [(mapping.name, print_, *t) for t in turns_of(record, mapping)] if mapping else [(None, print_, None, None, None)]
+                found = [(mapping.name, print_, *t, None) for t in turns_of(record, mapping)] if mapping else [(None, print_, None, None, None, raw)]
                 at += [i] * len(found)
                 rows += found
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id").take(pa.array(at, pa.int64())), *columns], ["conv_id", "layout", "fingerprint", "turn", "role", "text"])
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id").take(pa.array(at, pa.int64())), *columns], ["conv_id", "layout", "fingerprint", "turn", "role", "text", "record"])
 
     rows = records.select("conv_id", F.col("record").cast("string").alias("record"))
-    return rows.mapInArrow(map_, f"conv_id {dict(rows.dtypes)['conv_id']}, layout string, fingerprint string, turn bigint, role string, text string")
+    return rows.mapInArrow(map_, f"conv_id {dict(rows.dtypes)['conv_id']}, layout string, fingerprint string, turn bigint, role string, text string, record string")
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, formatted, loss_start, loss_end), one row a turn.
+    """(conv_id, turn, role, text, record, formatted, loss_start, loss_end), one row a turn.
 
     A conversation's text is its ``formatted`` values in the order of (turn,
     role, text), so it may have any number of turns. ``loss_start`` and
     ``loss_end`` bound the text under the loss mask, in code points of
     ``formatted``; both are 0 where the role is not the assistant's. Rows
-    without a layout are left as they are: ``formatted`` is null. Null roles and
+    without a layout are left as they are: ``formatted`` is null, ``record`` is what came. Null roles and
     texts count as empty.
     """
     ship(turns.sparkSession)
@@ -200,17 +206,18 @@ def format_chat(turns: DataFrame) -> DataFrame:
                 formatted, a, b = format_turn(role or "", text or "")
                 rows.append((formatted, a, b) if role == ASSISTANT else (formatted, 0, 0))
             columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 3, (pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "turn", "role", "text")), *columns], ["conv_id", "turn", "role", "text", "formatted", "loss_start", "loss_end"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "turn", "role", "text", "record")), *columns], ["conv_id", "turn", "role", "text", "record", "formatted", "loss_start", "loss_end"])
 
-    rows = turns.select("conv_id", "layout", "turn", "role", "text")
-    return rows.mapInArrow(render, f"conv_id {dict(rows.dtypes)['conv_id']}, turn bigint, role string, text string, formatted string, loss_start bigint, loss_end bigint")
+    rows = turns.select("conv_id", "layout", "turn", "role", "text", "record")
+    return rows.mapInArrow(render, f"conv_id {dict(rows.dtypes)['conv_id']}, turn bigint, role string, text string, record string, formatted string, loss_start bigint, loss_end bigint")
 
 
 def read_back(chat: DataFrame) -> DataFrame:
     """Digests of every conversation, from formatted turns and their masks alone.
 
     Turns of a conversation are sorted and read one by one: a conversation of
-    any length needs memory for one turn only.
+    any length needs memory for one turn only. Records of unknown layouts have no
+    turns to read; they stay in the rows of ``format_chat``.
     """
     ship(chat.sparkSession)
 
