@@ -33,6 +33,29 @@ def test_odd_languages(spark):
     assert langid.family_of("xx") != langid.family_of("yy")
 
 
+@pytest.mark.parametrize("left_out", ["en", "de"])
+def test_unlearned_language_goes(spark, left_out):
+    docs = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text", "lang")
+    held = queries.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(F.col("lang") != left_out), ~held)
+    rng = np.random.default_rng(0)
+    letters = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), rng.integers(20, 400))) for _ in range(200)]
+    rows = docs.where(held).union(spark.createDataFrame([(-i, t, "letters") for i, t in enumerate(letters)] + [(None, None, "none"), (None, "12 3", "none")], docs.schema))
+    rows = rows.withColumn("kind", F.when(F.col("lang").isin(left_out, "letters", "none"), F.col("lang")).when(F.length("text") < 100, "short").otherwise("learned"))
+    count = lambda df: {r.kind: r["count"] for r in df.groupBy("kind").count().collect()}
+    every, kept = count(rows), count(langid.where_known(rows, model))
+    print(left_out, {k: f"{kept.get(k, 0)} of {n} kept" for k, n in every.items()})
+    assert "none" not in kept and kept.get("letters", 0) == 0 and kept.get(left_out, 0) < 0.02 * every[left_out]
+    assert kept["learned"] > 0.99 * every["learned"] and kept["short"] > 0.95 * every["short"] > 0
+
+
+def test_runs_do_not_depend_on_slices(monkeypatch):
+    text = np.frombuffer("Some  words, été and 12 more.".encode() * 40, np.uint8)
+    whole = langid._runs(text)
+    monkeypatch.setattr(langid, "_PART", 7)
+    assert (langid._runs(text) == whole).all() and langid._runs(text[:0]).shape == (2, 0)
+
+
 @pytest.mark.parametrize(("query", "label", "least"), [(queries.op9_fm_toxicity, "toxic", 0.95), (queries.op10_byte_cnn, "quality", 0.96)])
 def test_labels(spark, query, label, least):
     rows = query(spark, BIG).join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id").where("held_out").toPandas()

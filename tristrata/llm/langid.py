@@ -2,7 +2,9 @@
 
 A softmax model over hashed byte n-grams picks the family of languages; inside
 the family one-versus-one linear support vector machines, which only ever saw
-closely related languages, vote for the language.
+closely related languages, vote for the language. Both only choose among the languages
+learned, so whether a text is in one of them at all is told by its familiar
+share: how many of its byte runs occur in the learned texts of that language.
 """
 
 from __future__ import annotations
@@ -30,6 +32,13 @@ FAMILIES = {
     "uralic": ("et", "fi", "hu"),
 }
 NO_LANGUAGE = "und"
+#: Runs of this many bytes, hashed to 2^RUN_BITS slots, tell how familiar a text is.
+RUN_BYTES = 4
+RUN_BITS = 20
+#: A run is familiar if so many learned texts of the language have it, and this share of them, so that passages
+#: in another language do not make that one familiar.
+RUN_TEXTS = 3
+RUN_SHARE = 0.01
 _PART = 1 << 20
 
 # Letters in one case, all else as one gap. Bytes of longer code points are
@@ -60,17 +69,92 @@ def _features(data: np.ndarray) -> np.ndarray:
     return (out / max(np.linalg.norm(out), 1e-12)).astype(np.float32)
 
 
+def _runs(data: np.ndarray) -> np.ndarray:
+    """Counts by slot of the byte runs of a text, as (slots, counts); gaps count as one, runs of a gap alone do not occur."""
+    slots, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found = []
+    last = np.array([32], np.uint8)
+    for at in range(0, len(data), _PART):
+        b = np.concatenate([last, _FOLD[data[at : at + _PART]], [32] if at + _PART >= len(data) else []]).astype(np.uint8)
+        b = b[np.append(True, (b[1:] != 32) | (b[:-1] != 32))]
+        last = b[-(RUN_BYTES - 1) :]
+        if len(b) < RUN_BYTES:
+            continue
+        run = np.zeros(len(b) - RUN_BYTES + 1, np.uint32)
+        for k in range(RUN_BYTES):
+            run = run << np.uint32(8) | b[k : len(run) + k]
+        found.append(np.unique((run * np.uint32(0x9E3779B1)) >> np.uint32(32 - RUN_BITS), return_counts=True))
+    if found:
+        slots, at = np.unique(np.concatenate([f[0] for f in found]).astype(np.int64), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([f[1] for f in found])).astype(np.int64)
+    return np.stack([slots, counts])
+
+
+def _share(runs: np.ndarray, seen: np.ndarray) -> float:
+    """The share of a text's runs that are among those seen; of none, all."""
+    return float((runs[1] * seen[runs[0]]).sum() / runs[1].sum()) if runs.shape[1] else 1.0
+
+
+def _familiarity(runs: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Which runs are familiar, a column for each language, and the familiar share that a text in one of them has at least.
+
+    Learned from every second text of a language and measured on the others:
+    once for their own language, and once for texts of each language against
+    all the other ones, as if it had not been learned. The border lies where the
+    mean of both shares of errors is least, in the middle of the best stretch.
+    With one language alone, it leaves out one in a thousand of its own texts.
+    """
+
+    def seen(rows: np.ndarray) -> np.ndarray:
+        texts = np.zeros(1 << RUN_BITS, np.int32)
+        for i in rows:
+            texts[runs[i][0]] += 1
+        return texts >= max(min(RUN_TEXTS, max(1, len(rows) // 2)), RUN_SHARE * len(rows))
+
+    languages = sorted(set(y))
+    rows = {v: np.flatnonzero(y == v) for v in languages}
+    half = {v: seen(rows[v][::2]) for v in languages}
+    own = [[_share(runs[i], half[v]) for i in rows[v][1::2]] for v in languages]
+    foreign = [[max(_share(runs[i], half[o]) for o in languages if o != v) for i in rows[v][1::2]] for v in languages if len(languages) > 1]
+    familiar = np.stack([seen(rows[v]) for v in languages], axis=1)
+    # Every language counts the same, however many texts it has.
+    own, foreign = [[(x, 1 / len(part)) for part in side if part for x in part] for side in (own, foreign)]
+    if not own:
+        return familiar, 0.0
+    mine, other = np.array(sorted(own)), np.array(sorted(foreign)).reshape(-1, 2)
+    if not len(other):
+        return familiar, float(np.quantile(mine[:, 0], 0.001))
+    cuts = np.unique(np.concatenate([mine[:, 0], other[:, 0]]))
+    middles = np.concatenate([[0.0], (cuts[1:] + cuts[:-1]) / 2])
+
+    def below(side: np.ndarray) -> np.ndarray:
+        mass = np.concatenate([[0.0], np.cumsum(side[:, 1])]) / side[:, 1].sum()
+        return mass[np.searchsorted(side[:, 0], middles)]
+
+    wrong = below(mine) + 1 - below(other)
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-9)
+    return familiar, float((middles[best[0]] + middles[best[-1]]) / 2)
+
+
 def features(column: pa.Array) -> Iterator[tuple[bool, np.ndarray | None]]:
     """For each row whether it has a letter and, if so, its features."""
-    offsets, data = buffers(column)
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        text = data[a:b]
-        letter = not NOT_LETTER[text[text < 128]].all()
-        if not letter and len(text) and text.max() >= 128:
-            letter = any(c.isalpha() for c in text.tobytes().decode("utf-8", "replace"))
+    for text in texts_of(column):
+        letter = _has_letter(text)
         yield letter, _features(text) if letter else None
 
 
+def _has_letter(text: np.ndarray) -> bool:
+    if not NOT_LETTER[text[text < 128]].all():
+        return True
+    return len(text) > 0 and text.max() >= 128 and any(c.isalpha() for c in text.tobytes().decode("utf-8", "replace"))
+
+
+def texts_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of each row."""
+    offsets, data = buffers(column)
+    return (data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+
+
 def _descend(x: np.ndarray, gradient, shape: tuple[int, ...], rounds: int, rate: float) -> np.ndarray:
     """Accelerated gradient descent from zero."""
     w, last = np.zeros(shape, np.float32), np.zeros(shape, np.float32)
@@ -111,6 +195,13 @@ class LanguageModel:
     families: list[list[str]]
     family_weights: np.ndarray
     pair_weights: dict[tuple[str, str], np.ndarray]
+    familiar: np.ndarray  # slots x languages
+    least: float
+
+    def knows(self, text: np.ndarray) -> bool:
+        """Whether the bytes of a text are familiar enough in some learned language."""
+        slots, counts = _runs(text)
+        return not len(slots) or (counts @ self.familiar[slots]).max() / counts.sum() >= self.least
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each row of features: the family's probability times the mean confidence of the winner's duels."""
@@ -148,9 +239,10 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [x.tobytes() if ok else None for ok, x in features(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.string()), pa.array(found, pa.binary())], ["lang", "doc_id", "x"])
+            runs = [_runs(t).astype("<i4").tobytes() for t in texts_of(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.string()), pa.array(found, pa.binary()), pa.array(runs, pa.binary())], ["lang", "doc_id", "x", "runs"])
 
-    table = few.mapInArrow(vectors, "lang string, doc_id string, x binary").where("x IS NOT NULL").orderBy("lang", "doc_id").toArrow()
+    table = few.mapInArrow(vectors, "lang string, doc_id string, x binary, runs binary").where("x IS NOT NULL").orderBy("lang", "doc_id").toArrow()
     if not table.num_rows:
         return None
     y = np.array(table.column("lang").to_pylist(), object)
@@ -167,7 +259,8 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
         for a, b in combinations(members, 2):
             rows = np.flatnonzero((y == a) | (y == b))
             pairs[a, b] = train_svm(x[rows], np.where(y[rows] == a, 1, -1).astype(np.float32))
-    return LanguageModel(families, family_weights, pairs)
+    runs = [np.frombuffer(v.as_buffer(), "<i4").reshape(2, -1) for v in table.column("runs")]
+    return LanguageModel(families, family_weights, pairs, *_familiarity(runs, y))
 
 
 def predict(model: LanguageModel | None, column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -214,15 +307,19 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     return rows.mapInArrow(judge, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
-def where_known(docs: DataFrame, model: LanguageModel | None, threshold: float) -> DataFrame:
-    """The rows of ``docs`` whose language is found with ``threshold`` or more, columns unchanged, in one pass without a shuffle."""
+def where_known(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """The rows of ``docs`` in a language that was learned, columns unchanged, in one pass without a shuffle.
+
+    A row stays if its whole text has the familiar share that the model asks for
+    in one of its languages. Null texts, texts without a letter and all rows of
+    a missing model go.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            languages, scores = predict(shared.value, batch.column("text").cast(pa.string()))
-            known = np.array([v != NO_LANGUAGE for v in languages], bool)
-            yield batch.filter(pa.array(known & (scores >= threshold)))
+            found = (shared.value is not None and _has_letter(t) and shared.value.knows(t) for t in texts_of(batch.column("text").cast(pa.string())))
+            yield batch.filter(pa.array(found, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
