@@ -85,6 +85,24 @@ def test_factors_learn_what_weights_can_not():
     assert len(model.slots) >= 1 and (len(model.slots) < 2 or (z[3] < z[1] + model.weights.max()))
 
 
+def test_pair_decides_in_a_large_vocabulary():
+    rng = np.random.default_rng(0)
+
+    def rows(n):
+        bits = rng.integers(0, 2, (n, 2))
+        return [np.unique(np.concatenate([np.flatnonzero(b) + 1, rng.integers(100, 10100, 20)])) for b in bits], bits[:, 0] ^ bits[:, 1]
+
+    model = fm_toxicity.train(*rows(3000))
+    assert len(model.slots) > 9000 and {1, 2} <= set(model.slots.tolist())
+    found, want = rows(500)
+    z = []
+    for r in found:
+        at = np.flatnonzero(np.isin(model.slots, r))
+        v = model.factors[at]
+        z.append(model.bias + model.weights[at].sum() + 0.5 * ((v.sum(0) ** 2).sum() - (v**2).sum()))
+    assert ((np.array(z) > 0) == want).mean() > 0.95
+
+
 def test_chunks_cover_every_byte():
     for n in (0, 1, 11, 511, 512, 513, 5000):
         seen = np.zeros(max(n, 1), bool)

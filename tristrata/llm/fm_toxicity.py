@@ -2,7 +2,8 @@
 
 Besides a weight, each term has a short vector; the product of two vectors is
 the weight of that pair of terms. So an insult next to the mention of a group
-can count for more than both alone, which additive weights can't express.
+can count for more than both alone, which additive weights can't express. Every
+term of the sample is learned, also one that tells nothing by itself.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from .text import NOT_LETTER, word_slices
 SLOT_BITS = 24
 #: Labelled rows to learn from, at most; half of each label where there are enough.
 SAMPLE_ROWS = 8000
-#: Slots that get a weight: those that tell the labels apart best.
-TERMS = 1024
 FACTORS = 8
+#: What the mean gradient of a weight must exceed to move it from zero, so that single documents set none.
+LEAST_GRADIENT = 3e-4
+#: Decay of vectors: pairs of terms that tell less than this together fade.
+FADE = 0.02
 
 
 def term_slots(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,59 +62,58 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(np.clip(-z, -500, 500)))
 
 
-def _choose(rows: list[np.ndarray], y: np.ndarray, terms: int) -> np.ndarray:
-    """The slots with the largest chi-square against the label among those in at least three different rows."""
-    every = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    slots, where = np.unique(every, return_inverse=True)
-    of = np.repeat(y, [len(r) for r in rows])
-    total, positive = np.bincount(where, minlength=len(slots)), np.bincount(where, weights=of, minlength=len(slots))
-    n, p = len(rows), y.sum()
-    expected = total * p / max(n, 1)
-    spread = np.maximum(expected * (1 - p / max(n, 1)) * (1 - total / max(n, 1)), 1e-9)
-    chi = np.where(total >= 3, (positive - expected) ** 2 / spread, -1)
-    best = np.argsort(-chi, kind="stable")[:terms]
-    return np.sort(slots[best[chi[best] > 0]])
+def train(rows: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs: int = 40, seed: int = 5) -> FactorizationMachine:
+    """Fit all slots of ``rows`` by logistic loss. Rows with the same terms and label count once, so that copies don't set weights.
 
-
-def train(rows: list[np.ndarray], y: np.ndarray, terms: int = TERMS, factors: int = FACTORS, epochs: int = 30, seed: int = 5) -> FactorizationMachine:
-    """Fit by logistic loss and Adam. Rows with the same terms and label count once, so that copies don't set weights."""
+    Rows are sparse. Weights follow Adam with a soft threshold; all vectors
+    share one step size and fade, so only what many rows agree on makes them grow.
+    """
     seen: dict[tuple[bytes, int], int] = {}
     for i, r in enumerate(rows):
         seen.setdefault((r.tobytes(), int(y[i])), i)
     keep = sorted(seen.values())
     rows, y = [rows[i] for i in keep], y[keep].astype(np.float64)
-    slots = _choose(rows, y, terms)
+    slots, where = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_inverse=True)
     rate = np.clip(y.mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
-    bias = np.array([np.log(rate / (1 - rate))])
+    bias = float(np.log(rate / (1 - rate)))
     if not len(slots) or y.min() == y.max():
-        return FactorizationMachine(slots[:0], float(bias[0]), np.zeros(0), np.zeros((0, factors)))
-    x = np.zeros((len(rows), len(slots)), np.float32)
-    for i, r in enumerate(rows):
-        at = np.minimum(np.searchsorted(slots, r), len(slots) - 1)
-        x[i, at[slots[at] == r]] = 1
+        return FactorizationMachine(slots[:0], bias, np.zeros(0), np.zeros((0, factors)))
+    lengths = np.array([len(r) for r in rows])
+    ends = np.append(0, np.cumsum(lengths))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(slots)), rng.normal(0, 0.02, (len(slots), factors))
     share = np.where(y == 1, 0.5 / rate, 0.5 / (1 - rate))  # both labels weigh the same in sum
-    bias[0] = 0
-    parts = [bias, w, v]
-    m, s = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
-    step = 0
+    bias, top, step = 0.0, 0.0, 0
+    bias_moments, m, s = np.zeros(2), np.zeros(len(slots)), np.zeros(len(slots))
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 256):
             b = order[at : at + 256]
-            xb = x[b]
-            sums = xb @ v
-            z = bias[0] + xb @ w + 0.5 * ((sums**2).sum(1) - (xb @ (v * v)).sum(1))
+            # The slots of these rows alone, and where each row has them.
+            here, cell = np.unique(np.concatenate([where[ends[i] : ends[i + 1]] for i in b]), return_inverse=True)
+            row = np.repeat(np.arange(len(b)), lengths[b])
+            vc = v[here][cell]
+            sums = np.stack([np.bincount(row, vc[:, f], len(b)) for f in range(factors)], axis=1)
+            z = bias + np.bincount(row, w[here][cell], len(b)) + 0.5 * ((sums**2).sum(1) - np.bincount(row, (vc * vc).sum(1), len(b)))
             g = share[b] * (1 / (1 + np.exp(np.clip(-z, -50, 50))) - y[b]) / len(b)
-            gv = xb.T @ (g[:, None] * sums) - (xb.T @ g)[:, None] * v
+            gw = np.bincount(cell, g[row], len(here))
+            gs = g[:, None] * sums
+            gv = np.stack([np.bincount(cell, gs[row, f], len(here)) for f in range(factors)], axis=1) - gw[:, None] * v[here]
             step += 1
-            for p, grad, m1, s1, decay in zip(parts, (np.array([g.sum()]), xb.T @ g, gv), m, s, (0, 1e-5, 1e-4)):
-                grad = grad + decay * p
-                m1 += 0.1 * (grad - m1)
-                s1 += 0.01 * (grad**2 - s1)
-                p -= 0.02 * (m1 / (1 - 0.9**step)) / (np.sqrt(s1 / (1 - 0.99**step)) + 1e-8)
-    return FactorizationMachine(slots, float(bias[0]), w, v)
+            first, second = 1 - 0.9**step, 1 - 0.99**step
+            bias_moments += (0.1, 0.01) * (np.array([g.sum(), g.sum() ** 2]) - bias_moments)
+            bias -= 0.02 * (bias_moments[0] / first) / (np.sqrt(bias_moments[1] / second) + 1e-8)
+            m *= 0.9
+            s *= 0.99
+            m[here] += 0.1 * gw
+            s[here] += 0.01 * gw**2
+            rates = 0.05 / (np.sqrt(s / second) + 1e-6)
+            w -= rates * m / first
+            w = np.sign(w) * np.maximum(np.abs(w) - rates * LEAST_GRADIENT, 0)
+            top = max(0.999 * top, np.abs(gv).max(initial=0), 1e-12)
+            v[here] -= 0.1 * gv / top
+            v *= 1 - min(0.1 * FADE / top, 0.9)
+    return FactorizationMachine(slots, float(bias), w, v)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPLE_ROWS) -> FactorizationMachine:
