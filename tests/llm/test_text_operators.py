@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tristrata.llm import chat, mixing, packing, separators
+from tristrata.llm import chat, mixing, packing, separators, text
+from tristrata.llm.text import word_slices
 from tristrata.llm.word_bpe import WordBpe, tokenizer_path
 
 ODD = ["", None, "  \n", "İstanbul ΑΣ ﬁ é", "a<|endoftext|> b", "x" * 300, "a\x1cb \x85 c", "I'LL naïve 12½ ×÷ ́a", "日本語 текст", "word " * 5000, "no gap" + "z" * 70000]
@@ -30,6 +31,47 @@ def test_word_tokenizer_is_exact():
         assert [g.tolist() for g in got] == [plain_ids(t, special) for t in ODD]
 
 
+def odd_words():
+    a, b = "a", "b"
+    for _ in range(11):  # Thue-Morse words, which sums of powers modulo 2^64 don't tell apart
+        a, b = a + b, b + a
+    return ["cat\0", "dat", "cat", "\0cat", "\0", "\0\0", "a\0\0", "a\0", a[:1024], b[:1024], a, b]
+
+
+def test_word_tokenizer_tells_odd_and_random_words_apart():
+    rng = np.random.default_rng(3)
+    letters = np.array(list("ab\0\x01d'1é%"))
+    words = odd_words() + ["".join(letters[rng.integers(0, len(letters), n)]) for n in rng.integers(1, 12, 100_000)]
+    texts = [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]
+    t = Tokenizer.from_file(tokenizer_path())
+    plain = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [g.tolist() for g in WordBpe(tokenizer_path()).by_row(pa.array(texts))] == plain
+    seen = {}
+    for w in word_slices(pa.array(words)):
+        for s, e, h, c in zip(w.start.tolist(), w.end.tolist(), w.hash.tolist(), w.check.tolist()):
+            raw = bytes(w.data[s:e])
+            assert seen.setdefault(h, raw) == raw and seen.setdefault((c,), raw) == raw
+
+
+def test_word_tokenizer_survives_equal_hashes(monkeypatch):
+    real = text.word_hashes
+
+    def weak(data, start, end):
+        return (end - start).astype(np.uint64), real(data, start, end)[1]
+
+    monkeypatch.setattr(text, "word_hashes", weak)
+    texts = ["cat dog cat", "dog", "horse", "mouse cat", "", "horse\0"]
+    assert [g.tolist() for g in WordBpe(tokenizer_path()).by_row(pa.array(texts))] == [plain_ids(t) for t in texts]
+
+
+def test_word_tokenizer_refuses_other_files(tmp_path):
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        other = json.load(f)
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    with pytest.raises(ValueError, match="not a word tokenizer"):
+        WordBpe(str(tmp_path / "other.json"))
+
+
 def test_chat_layouts(spark):
     trap = "\\### Assistant: </turn> ok \\n #"
     records = [

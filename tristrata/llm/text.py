@@ -17,7 +17,6 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _SHIFT = np.uint64(32)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -40,30 +39,55 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Words of one slice: ``data[start:end]`` belongs to row ``row``; rows run from ``first`` to ``last`` inclusive."""
+    """Words of one slice: ``data[start:end]`` belongs to row ``row``; rows run from ``first`` to ``last`` inclusive.
+
+    ``hash`` and ``check`` are two independent hashes of a word's (folded) bytes.
+    """
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
     hash: np.ndarray
+    check: np.ndarray
     first: int
     last: int
 
 
-class _Powers:
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
+#: Places of a word whose numbers are looked up; those of later ones are computed.
+_NEAR = 64
+
+
+def _number(place: np.ndarray, byte: np.ndarray, seed: int) -> np.ndarray:
+    """A number that looks random for each byte at each place of a word."""
+    return mix(mix((place.astype(np.uint64) << np.uint64(8) | byte) + np.uint64(seed)) * _ODD)
+
+
+_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+_TABLES = tuple(_number(np.repeat(np.arange(_NEAR), 256), np.tile(np.arange(256, dtype=np.uint64), _NEAR), s) for s in _SEEDS)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each word: sums of numbers of its bytes and their places, and of its length.
 
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) <= n:
-            size = max(n + 1, SLICE_BYTES + 1)
-            for name, base in (("up", _ODD), ("down", _INVERSE)):
-                powers = np.full(size, base, np.uint64)
-                powers[0] = 1
-                setattr(cls, name, np.cumprod(powers, dtype=np.uint64))
-        return cls.up, cls.down
+    Every byte counts, NUL too, and a number depends on byte and place alone, so
+    words with the same hash are no more likely for texts of any kind.
+    """
+    length = end - start
+    flat = data[ragged(start, length)] if len(start) else data[:0]
+    ends = np.cumsum(length)
+    place = np.arange(len(flat)) - np.repeat(ends - length, length)
+    far = np.flatnonzero(place >= _NEAR)
+    slot = (np.minimum(place, _NEAR - 1) << 8) | flat
+    out = []
+    for table, seed in zip(_TABLES, _SEEDS):
+        numbers = table[slot]
+        if len(far):
+            numbers[far] = _number(place[far], flat[far].astype(np.uint64), seed)
+        total = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(numbers, out=total[1:])
+        out.append(mix(total[ends] - total[ends - length] + length.astype(np.uint64) * _ODD))
+    return out[0], out[1]
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +101,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_slices(column: pa.Array, gaps: np.ndarray = SPACE, fold: np.ndarray | None = None) -> Iterator[Words]:
-    """Every word of every row, with a 64-bit hash of its (folded) bytes."""
+    """Every word of every row, with two 64-bit hashes of its (folded) bytes."""
     offsets, data = buffers(column)
     row, rows = 0, len(offsets) - 1
     while row < rows:
@@ -108,12 +132,9 @@ def _words(data: np.ndarray, bounds: np.ndarray, first: int, gaps: np.ndarray, f
     opens[edges] = inside[edges]
     closes[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    up, down = _Powers.of(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data if fold is None else fold[data]).astype(np.uint64) * up[:n], out=total[1:])
-    hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    hashed, check = word_hashes(data if fold is None else fold[data], start, end)
     row = np.searchsorted(bounds[:-1], start, "right") - 1
-    return Words(data, start, end, row + first, hashed, first, first + len(bounds) - 2)
+    return Words(data, start, end, row + first, hashed, check, first, first + len(bounds) - 2)
 
 
 def words_by_row(column: pa.Array, gaps: np.ndarray = SPACE, fold: np.ndarray | None = None) -> Iterator[np.ndarray]:

@@ -75,10 +75,11 @@ class Merges:
 
 
 class _Part:
-    """Sorted hashes of words, and where the ids of each are in the pool."""
+    """Sorted hashes of words, their second hashes, and where the ids of each are in the pool."""
 
-    def __init__(self, keys=None, first=None, count=None, pool=None):
+    def __init__(self, keys=None, checks=None, first=None, count=None, pool=None):
         self.keys = np.zeros(0, np.uint64) if keys is None else keys
+        self.checks = np.zeros(0, np.uint64) if checks is None else checks
         self.first = np.zeros(0, np.int64) if first is None else first
         self.count = np.zeros(0, np.int64) if count is None else count
         self.pool = np.zeros(0, np.uint16) if pool is None else pool
@@ -92,6 +93,7 @@ class _Part:
     def take(self, more: _Part) -> None:
         keys = np.concatenate([self.keys, more.keys])
         order = np.argsort(keys, kind="stable")
+        self.checks = np.concatenate([self.checks, more.checks])[order]
         self.first = np.concatenate([self.first, more.first + len(self.pool)])[order]
         self.count = np.concatenate([self.count, more.count])[order]
         self.pool = np.concatenate([self.pool, more.pool])
@@ -105,8 +107,12 @@ class WordBpe:
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = not special
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model = whole["model"]
         vocab, names = model["vocab"], _byte_names()
+        pattern = [p.get("pattern", {}).get("Regex") for p in (whole.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        if PARTS not in pattern or max(vocab.values()) >= 1 << 16 or len(model["merges"]) >= 1 << 19:
+            raise ValueError(f"{path} is not a word tokenizer of this kind")
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.merges = Merges(
             np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], np.int64),
@@ -147,13 +153,20 @@ class WordBpe:
         if len(self.old.keys) > CACHE_WORDS:
             self.clear()
         distinct, example, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        check = words.check[example]
         old, is_old = self.old.find(distinct)
         recent, is_recent = self.recent.find(distinct)
+        if (
+            (words.check != check[back]).any()
+            or (self.old.checks[old[is_old]] != check[is_old]).any()
+            or (self.recent.checks[recent[is_recent]] != check[is_recent]).any()
+        ):
+            return self._one_by_one(words)
         new = ~is_old & ~is_recent
         if new.any():
             data = words.data.tobytes()
             at = example[new]
-            self._learn(distinct[new], [data[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
+            self._learn(distinct[new], check[new], [data[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
             recent, is_recent = self.recent.find(distinct)
         first = np.where(is_old, self.old.first[old] if len(self.old.keys) else 0, 0)
         count = np.where(is_old, self.old.count[old] if len(self.old.keys) else 0, 0)
@@ -169,7 +182,14 @@ class WordBpe:
             self.recent = _Part()
         return pool[ragged(begins[back], count[back])], count[back]
 
-    def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
+    def _one_by_one(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """The same without the cache, for a slice with different words of one hash."""
+        data = words.data.tobytes()
+        texts = [data[a:b] for a, b in zip(words.start.tolist(), words.end.tolist())]
+        known = {raw: np.array(self.whole.encode(raw.decode("utf-8"), add_special_tokens=False).ids, np.uint16) for raw in set(texts)}
+        return np.concatenate([known[raw] for raw in texts]), np.array([len(known[raw]) for raw in texts], np.int64)
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, texts: list[bytes]) -> None:
         pieces: list[bytes] = []
         owner: list[int] = []
         slow: dict[int, np.ndarray] = {}
@@ -190,7 +210,7 @@ class WordBpe:
             first[i], total[i] = at, len(found)
             flat.append(found)
             at += len(found)
-        self.recent.take(_Part(keys, first, total, np.concatenate(flat)))
+        self.recent.take(_Part(keys, checks, first, total, np.concatenate(flat)))
 
     def _merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, and how many each has.
