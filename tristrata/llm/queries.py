@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, chat, fm_toxicity, jaccard_join, langid, mixing, packing, pq_neardup, rp_forest, separators
+from . import byte_cnn, chat, fm_toxicity, importance, jaccard_join, langid, license_scan, mixing, packing, pq_neardup, rp_forest, runs, separators
 from .tables import held_out, table
 
 TOXIC_FROM = 0.7
@@ -63,6 +63,19 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_toxicity.score(docs, model, GOOD_FROM).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_labels(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), tails=True).drop("n_words")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +89,9 @@ QUERIES = {
         op8_ngram_jaccard,
         op9_fm_toxicity,
         op10_byte_cnn,
+        op11_license_diagonals,
+        op12_importance_resample,
+        op13_periodic_runs,
     )
 }
 
@@ -176,4 +192,75 @@ SELECT node AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(far) AS
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node
 """
 
-ORACLES = {"op1_pq_neardup": _OP1, "op2_chat_format": _OP2, "op3_mix_sources": _OP3, "op8_ngram_jaccard": _OP8}
+_WORDS = rf"""regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.WORD}')"""
+
+
+def _notices() -> str:
+    rows = []
+    for i, n in enumerate(license_scan.PHRASES + license_scan.NOTICES):
+        k = min(license_scan.GRAM, len(n.words))
+        gap = 0 if n.base else license_scan.gap_of(len(n.words), license_scan.GAP)
+        rows += [
+            f"({i}, '{n.label}', {n.base}, {len(n.words)}, {len(n.words) - k + 1}, {gap}, {k}, {at}, '{' '.join(n.words[at : at + k])}')"
+            for at in range(len(n.words) - k + 1)
+        ]
+    return ", ".join(rows)
+
+
+_OP11 = rf"""
+WITH notices(notice, label, base, words, grams, gap, k, at, gram) AS (VALUES {_notices()}),
+w AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+here AS (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT DISTINCT k FROM notices)),
+hits AS (SELECT id, i - 1 AS place, n.* FROM here JOIN notices n ON n.k = here.k AND n.gram = array_to_string(w[i : i + here.k - 1], ' ')),
+diagonals AS (SELECT DISTINCT id, notice, gap, place - at AS diagonal FROM hits),
+apart AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY id, notice ORDER BY diagonal) > gap, false) AS apart FROM diagonals),
+spans AS (SELECT id, notice, diagonal, count(*) FILTER (WHERE apart) OVER (PARTITION BY id, notice ORDER BY diagonal) AS span FROM apart),
+found AS (
+    SELECT h.id, h.notice, label, base, words, count(DISTINCT at) / CAST(any_value(grams) AS DOUBLE) AS found,
+        min(place) AS first_word, max(place + k - 1) AS last_word
+    FROM hits h JOIN spans s ON s.id = h.id AND s.notice = h.notice AND s.diagonal = h.place - h.at GROUP BY h.id, h.notice, label, base, words, span),
+judged AS (SELECT *, CASE WHEN base THEN found = 1 ELSE found >= {license_scan.SHARE} AND last_word - first_word + 1 <= words * {license_scan.STRETCH} END AS counts FROM found),
+labels AS (
+    SELECT id, count(*) FILTER (WHERE counts AND base) AS n_base, min(first_word) FILTER (WHERE counts AND base) AS first_word,
+        max(first_word) FILTER (WHERE counts AND base) AS last_word,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE counts AND base)), ',') AS base_labels,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE counts)), ',') AS labels, max(found) AS score
+    FROM judged GROUP BY id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN labels USING (id)
+"""
+
+_OP12 = rf"""
+WITH crcs AS (SELECT list(c ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+w AS (
+    SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w, false AS target FROM documents
+    UNION ALL SELECT -row_number() OVER (), NULL, {_WORDS}, true FROM benchmark),
+runs AS (
+    SELECT id, target, array_to_string(w[i : i + k - 1], ' ') AS f
+    FROM (SELECT id, target, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+counted AS (SELECT id, target, f, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+    SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(f) + 1), lambda i : CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT))),
+        lambda c, b : xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) % {importance.BUCKETS} AS bucket
+    FROM (SELECT DISTINCT f FROM counted), crcs),
+placed AS (SELECT id, target, bucket, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+shares AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE NOT target), 0) AS s, coalesce(sum(n) FILTER (WHERE target), 0) AS t FROM placed GROUP BY bucket),
+whole AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM shares),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + {importance.BUCKETS}) AS DOUBLE) / CAST((s + 1) * (t_all + {importance.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+    FROM shares, whole),
+weights AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM placed JOIN gains USING (bucket) WHERE NOT target GROUP BY id),
+scored AS (
+    SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS BIGINT) AS score
+    FROM w LEFT JOIN weights USING (id) WHERE NOT target),
+placings AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC NULLS LAST, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN place END AS rank
+FROM placings
+"""
+
+ORACLES = {"op11_license_diagonals": _OP11, "op12_importance_resample": _OP12, "op1_pq_neardup": _OP1, "op2_chat_format": _OP2, "op3_mix_sources": _OP3, "op8_ngram_jaccard": _OP8}
