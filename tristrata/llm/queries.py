@@ -208,17 +208,17 @@ def _notices() -> str:
 
 
 _OP11 = rf"""
-WITH notices(notice, label, base, words, grams, gap, k, at, gram) AS (VALUES {_notices()}),
+WITH notices(notice, label, base, words, grams, gap, k, j, gram) AS (VALUES {_notices()}),
 w AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
 here AS (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT DISTINCT k FROM notices)),
 hits AS (SELECT id, i - 1 AS place, n.* FROM here JOIN notices n ON n.k = here.k AND n.gram = array_to_string(w[i : i + here.k - 1], ' ')),
-diagonals AS (SELECT DISTINCT id, notice, gap, place - at AS diagonal FROM hits),
+diagonals AS (SELECT DISTINCT id, notice, gap, place - j AS diagonal FROM hits),
 apart AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY id, notice ORDER BY diagonal) > gap, false) AS apart FROM diagonals),
 spans AS (SELECT id, notice, diagonal, count(*) FILTER (WHERE apart) OVER (PARTITION BY id, notice ORDER BY diagonal) AS span FROM apart),
 found AS (
-    SELECT h.id, h.notice, label, base, words, count(DISTINCT at) / CAST(any_value(grams) AS DOUBLE) AS found,
+    SELECT h.id, h.notice, label, base, words, count(DISTINCT j) / CAST(any_value(grams) AS DOUBLE) AS found,
         min(place) AS first_word, max(place + k - 1) AS last_word
-    FROM hits h JOIN spans s ON s.id = h.id AND s.notice = h.notice AND s.diagonal = h.place - h.at GROUP BY h.id, h.notice, label, base, words, span),
+    FROM hits h JOIN spans s ON s.id = h.id AND s.notice = h.notice AND s.diagonal = h.place - h.j GROUP BY h.id, h.notice, label, base, words, span),
 judged AS (SELECT *, CASE WHEN base THEN found = 1 ELSE found >= {license_scan.SHARE} AND last_word - first_word + 1 <= words * {license_scan.STRETCH} END AS counts FROM found),
 labels AS (
     SELECT id, count(*) FILTER (WHERE counts AND base) AS n_base, min(first_word) FILTER (WHERE counts AND base) AS first_word,
