@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_sample, ship
+from .tables import bounded_bytes, bounded_sample, learned, ship
 from .text import buffers
 
 CHUNK = 512
@@ -30,7 +30,10 @@ PLACES = (CHUNK - WIDTH) // STEP + 1
 #: Labelled rows to learn from, at most; half of each label where there are enough.
 SAMPLE_ROWS = 3000
 EPOCHS = 8
+#: Bytes of their texts, at most; texts are taken whole, in order of doc_id.
+SAMPLE_BYTES = 64 << 20
 _BATCH = 64
+_GROUP = 256
 
 
 def chunk_starts(length: int) -> np.ndarray:
@@ -133,8 +136,11 @@ class ByteNetwork:
         return 1 / (1 + np.exp(np.clip(-z.astype(np.float64), -500, 500)))
 
     def gradients(self, texts: list[np.ndarray], y: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+        """Gradients of all parts; a group of chunks is unfolded at a time, so that long texts need no more memory."""
         data, places, owner = chunks(texts)
-        r, where, windows = self.responses(data, places)
+        groups = [slice(at, at + _GROUP) for at in range(0, len(data), _GROUP)]
+        found = [self.responses(data[g], places[g])[:2] for g in groups]
+        r, where = (np.concatenate(p) for p in zip(*found))
         x, count = self.combine(r, owner)
         h = np.maximum(x @ self.hidden + self.hidden_bias, 0)
         p = 1 / (1 + np.exp(np.clip(-(h @ self.out + self.out_bias[0]), -50, 50)))
@@ -146,13 +152,15 @@ class ByteNetwork:
         gr = (mean / count[:, None])[owner]
         gr += top[owner] * (relu == x[owner, FILTERS : 2 * FILTERS]) + low[owner] * (relu == x[owner, 2 * FILTERS :])
         gr = (gr * (r > 0)).astype(np.float32)
-        at = np.arange(len(data))[:, None]
-        taken = windows[at, where]  # the window behind each largest response
-        gf = np.einsum("cf,cfk->kf", gr, taken)
-        gw = gr[:, :, None] * self.filters.T[None]
-        used = data[at[:, :, None], (where * STEP)[:, :, None] + np.arange(WIDTH)]
-        ge = np.zeros_like(self.embed)
-        np.add.at(ge, used.reshape(-1), gw.reshape(-1, EMBED))
+        gf, ge = np.zeros_like(self.filters), np.zeros_like(self.embed)
+        for g in groups:
+            # The bytes behind each largest response.
+            at = np.arange(len(data[g]))[:, None, None]
+            used = data[g][at, (where[g] * STEP)[:, :, None] + np.arange(WIDTH)]
+            taken = self.embed[used].reshape(len(used), FILTERS, WIDTH * EMBED)
+            gf += np.einsum("cf,cfk->kf", gr[g], taken)
+            gw = gr[g][:, :, None] * self.filters.T[None]
+            np.add.at(ge, used.reshape(-1), gw.reshape(-1, EMBED))
         return [ge, gf, gr.sum(0), x.T @ gh, gh.sum(0), h.T @ gz, np.array([gz.sum()], np.float32)]
 
 
@@ -182,17 +190,25 @@ def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: in
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPLE_ROWS) -> ByteNetwork:
-    """Learn from the whole texts of at most ``sample_rows`` labelled documents.
+def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> ByteNetwork:
+    """Learn from the whole texts of at most ``sample_rows`` labelled documents with ``sample_bytes`` in all.
 
     ``labels`` has doc_id and the 0/1 column ``label``; null labels and labels
-    without a document are left out, repeated ones count each. Copies count once.
+    without a document are left out, repeated ones count each. Equal texts with
+    one label count once, whether copies or rows that repeat a doc_id. Training
+    runs inside a task.
     """
     ship(docs.sparkSession)
     chosen = bounded_sample(labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y")), "doc_id", "y", sample_rows)
     # The number of chosen labels is bounded, whatever the table holds.
     few = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    table = few.groupBy("text", "y").agg(F.min("doc_id").alias("doc_id")).orderBy("doc_id", "y").toArrow()
+    few = few.groupBy("text", "y").agg(F.min("doc_id").alias("doc_id"))
+    return learned(bounded_bytes(few, "text", ["doc_id", "y"], sample_bytes), learn)
+
+
+def learn(table: pa.Table) -> ByteNetwork:
+    """Train on a table with text, y and doc_id."""
+    table = table.sort_by([("doc_id", "ascending"), ("y", "ascending")])
     offsets, data = buffers(table.column("text"))
     texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     return train(texts, np.array(table.column("y").to_pylist(), np.int64))

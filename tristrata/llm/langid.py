@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_sample, ship
+from .tables import bounded_sample, learned, ship
 from .text import NOT_LETTER, buffers
 
 DIMS = 4096
@@ -231,7 +231,11 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> LanguageModel | None:
-    """Learn from at most ``sample_rows`` rows where ``learn_from`` holds and lang is not null; None if there are none."""
+    """Learn from at most ``sample_rows`` rows where ``learn_from`` holds and lang is not null; None if there are none.
+
+    Repeated rows and rows that repeat a doc_id count each. Training runs inside
+    a task.
+    """
     ship(docs.sparkSession)
     rows = docs.where(learn_from & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     few = bounded_sample(rows, "doc_id", "lang", sample_rows)
@@ -242,7 +246,12 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
             runs = [_runs(t).astype("<i4").tobytes() for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.string()), pa.array(found, pa.binary()), pa.array(runs, pa.binary())], ["lang", "doc_id", "x", "runs"])
 
-    table = few.mapInArrow(vectors, "lang string, doc_id string, x binary, runs binary").where("x IS NOT NULL").orderBy("lang", "doc_id").toArrow()
+    return learned(few.mapInArrow(vectors, "lang string, doc_id string, x binary, runs binary").where("x IS NOT NULL"), learn)
+
+
+def learn(table: pa.Table) -> LanguageModel | None:
+    """Train on a table with lang, doc_id, features and runs; None if it is empty."""
+    table = table.sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     if not table.num_rows:
         return None
     y = np.array(table.column("lang").to_pylist(), object)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +43,32 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def learned(rows: DataFrame, learn: Callable[[pa.Table], object]) -> object:
+    """What ``learn`` makes of a bounded table, inside one task: neither rows nor training burden the driver.
+
+    Only the pickled result comes back. An empty table is learned from as well.
+    """
+
+    def run(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(table.select(columns)))], pa.binary())], ["learned"])
+
+    columns = rows.columns
+    found = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(run, "learned binary").collect()
+    return pickle.loads(found[0].learned) if found else learn(rows.limit(0).toArrow())
+
+
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     """Whether a document belongs to the fold that no model learns from; a null id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
+def bounded_bytes(rows: DataFrame, column: str, order: list[str], most: int) -> DataFrame:
+    """The rows of a bounded sample that come first and hold at most ``most`` bytes in ``column`` together."""
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_bytes", F.sum(F.octet_length(column)).over(before)).where(F.col("_bytes") <= most).drop("_bytes")
+
+
 def bounded_sample(rows: DataFrame, key: str, stratum: str, most: int, seed: int = 7) -> DataFrame:
     """About ``most`` rows, spread evenly over the values of ``stratum``, chosen by the hash of ``key``.
 
