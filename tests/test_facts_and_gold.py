@@ -9,7 +9,8 @@ from tristrata.operators.quality import ChecksFailed
 from tristrata.plans import dims, facts
 from tristrata.plans.contracts import SILVER
 from tristrata.plans.gold import BUILDERS, GoldConfig, run_gold
-from tristrata.sources import Tables
+from tristrata.sources import Builds, Tables
+from tristrata.sources.history_store import run_id
 from tristrata.workload.views import silver
 
 
@@ -119,7 +120,61 @@ def test_gold_run_fails_on_bad_data(spark, sf_dir, tmp_path):
 
 def test_gold_run_into_a_database(spark, sf_dir, tmp_path):
     store(spark, sf_dir, "silver_db_test")
-    cfg = GoldConfig("silver_db_test", "gold_db_test", str(tmp_path / "snapshots"))
+    cfg = GoldConfig("silver_db_test", "gold_db_test", str(tmp_path / "snapshots"), tables=SMALL)
     gold, _ = run_gold(spark, cfg, run_ts(4))
     counts = spark.sql("SELECT status, count(*) AS n FROM gold_db_test.fact_appointments GROUP BY 1")
     assert counts.agg(F.sum("n")).first()[0] == gold.ref("fact_appointments").count()
+
+
+SMALL = ("dim_patient", "fact_appointments")
+
+
+def test_a_failing_check_leaves_the_last_good_build_visible(spark, sf_dir, tmp_path):
+    store(spark, sf_dir, "silver_switch_test")
+    silver_tables = Tables(spark, "silver_switch_test")
+    patient = silver(spark, sf_dir, "patient")
+    cfg = GoldConfig("silver_switch_test", "gold_switch_test", str(tmp_path / "snapshots"), tables=SMALL)
+    builds = Builds(spark, "gold_switch_test")
+    with pytest.raises(ValueError, match="no good build"):
+        builds.tables()
+
+    def shown():
+        return sorted(map(tuple, spark.table("gold_switch_test.dim_patient").collect()))
+
+    silver_tables.publish(patient.where("ingested_at < '2024-01-02'"), "patient")
+    first, _ = run_gold(spark, cfg, run_ts(1))
+    before = shown()
+    nobody = patient.limit(1).withColumn("patient_id", F.lit(None).cast("int"))
+    silver_tables.publish(patient.unionByName(nobody), "patient")
+    with pytest.raises(ChecksFailed, match="dim_patient.patient_nk not_null"):
+        run_gold(spark, cfg, run_ts(2))
+    assert shown() == before and builds.newest_good() == run_id(run_ts(1))
+    assert builds.open(run_id(run_ts(2))).ref("check_report").where("NOT passed").count() > 0
+
+    silver_tables.publish(patient, "patient")
+    run_gold(spark, cfg, run_ts(2))  # the same run again, with mended data
+    assert shown() != before and builds.newest_good() == run_id(run_ts(2))
+    # readers of the old build keep it until it expires
+    assert sorted(map(tuple, first.ref("dim_patient").collect())) == before
+    run_gold(spark, cfg, run_ts(3))
+    assert builds.expire([*SMALL, "check_report"], keep=2) == [run_id(run_ts(1))]
+    assert not spark.catalog.tableExists(first.target("dim_patient"))
+    assert builds.tables().ref("dim_patient").count() == spark.table("gold_switch_test.dim_patient").count()
+
+
+def test_a_table_in_the_way_of_a_view(spark, tmp_path):
+    builds = Builds(spark, "gold_view_test")
+    builds.publish(spark.range(3), "b1", "t")
+    spark.range(1).write.saveAsTable("gold_view_test.t")
+    with pytest.raises(ValueError, match="is a table, not a view"):
+        builds.switch("b1", ["t"])
+
+
+def test_builds_in_a_folder(spark, tmp_path):
+    builds = Builds(spark, str(tmp_path / "gold"))
+    for build, rows, failures in (("b1", 1, 0), ("b2", 2, 0), ("b3", 3, 1)):
+        builds.publish(spark.range(rows), build, "t")
+        builds.record(build, failures)
+        builds.switch(build, ["t"])
+    assert builds.newest_good() == "b2" and builds.tables().ref("t").count() == 2
+    assert builds.expire(["t"], keep=1) == ["b1"] and builds.tables().ref("t").count() == 2

@@ -8,12 +8,15 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tristrata.operators.quality import require_passed, run_checks
+from tristrata.operators.quality import Check, require_passed, run_checks
 from tristrata.plans import dims, facts
 from tristrata.plans.checks import GOLD_CHECKS
 from tristrata.plans.contracts import SILVER
-from tristrata.sources.history_store import read_history, record_snapshot, run_id
+from tristrata.plans.incremental import record_changes
+from tristrata.sources.builds import Builds
+from tristrata.sources.history_store import read_history, run_id
 from tristrata.sources.sinks import WriteLayout
 from tristrata.sources.tables import Tables
 
@@ -45,8 +48,10 @@ class GoldConfig:
     """Where a gold run reads and writes.
 
     ``silver`` and ``gold`` are folders or databases, ``snapshots`` a folder.
-    A gold folder gets one sub-folder per run. ``threads`` tables are submitted
-    to Spark at a time.
+    Each run is a build of its own (see ``Builds``). ``tables`` limits what is
+    built and checked; ``threads`` tables are submitted to Spark at a time.
+    ``full_snapshots`` reads whole logs for the histories instead of the loads
+    since the run before, for logs that were rewritten under old load times.
     """
 
     silver: str
@@ -54,26 +59,21 @@ class GoldConfig:
     snapshots: str
     threads: int = 4
     layout: WriteLayout | None = None
+    tables: Sequence[str] = tuple(BUILDERS)
+    full_snapshots: bool = False
 
 
-def take_snapshots(spark: SparkSession, tables: Tables, base: str, run_ts: datetime) -> None:
-    """Bring both stored histories up to the newest silver rows."""
-    record_snapshot(
-        dims.patient_snapshot_source(tables.source("patient"), run_ts),
-        f"{base}/patient",
-        keys=["patient_id"],
-        check_cols=dims.PATIENT,
-        run_ts=run_ts,
-        carried=[dims.SOURCE_TIME],
-    )
-    record_snapshot(
-        dims.doctor_snapshot_source(tables.source("doctors"), run_ts),
-        f"{base}/doctors",
-        keys=["doctor_id"],
-        check_cols=dims.DOCTOR,
-        run_ts=run_ts,
-        carried=[dims.SOURCE_TIME],
-    )
+def take_snapshots(
+    spark: SparkSession, tables: Tables, base: str, run_ts: datetime, full: bool = False
+) -> None:
+    """Bring both stored histories up to the newest silver rows, reading the loads since the last run."""
+    for log, folder, key, tracked, source in (
+        ("patient", "patient", "patient_id", dims.PATIENT, dims.patient_snapshot_source),
+        ("doctors", "doctors", "doctor_id", dims.DOCTOR, dims.doctor_snapshot_source),
+    ):
+        record_changes(
+            tables.source(log), f"{base}/{folder}", source, [key], tracked, run_ts, [dims.SOURCE_TIME], full=full
+        )
 
 
 def gold_inputs(spark: SparkSession, cfg: GoldConfig, run_ts: datetime) -> Tables:
@@ -102,20 +102,27 @@ def build_tables(
         return dict(zip(names, pool.map(build, names), strict=True))
 
 
-def run_gold(spark: SparkSession, cfg: GoldConfig, run_ts: datetime) -> tuple[Tables, DataFrame]:
-    """Snapshot, rebuild every gold table and check it.
+def run_gold(
+    spark: SparkSession, cfg: GoldConfig, run_ts: datetime, checks: Sequence[Check] = GOLD_CHECKS
+) -> tuple[Tables, DataFrame]:
+    """Snapshot, rebuild the gold tables, check them and show them.
 
-    Returns the stored tables and the check report, which is stored beside them
-    as ``check_report``, also when checks fail. A run into a folder writes
-    ``build=<run>`` next to earlier builds and raises when a check fails, so a
-    reader can stay on the last build that passed.
+    Returns the tables of this build and the check report, which is stored with
+    them as ``check_report``, also when checks fail. Readers get the new build
+    only after it has passed: in a database by views that are replaced one after
+    another, in a folder by its line in the log. When a check fails the run
+    raises and whatever was shown before stays.
     """
-    take_snapshots(spark, Tables(spark, cfg.silver), cfg.snapshots, run_ts)
+    take_snapshots(spark, Tables(spark, cfg.silver), cfg.snapshots, run_ts, cfg.full_snapshots)
     inputs = gold_inputs(spark, cfg, run_ts)
-    place = f"{cfg.gold}/build={run_id(run_ts)}" if "/" in cfg.gold else cfg.gold
-    out = Tables(spark, place)
-    built = build_tables(spark, inputs, out, threads=cfg.threads, layout=cfg.layout)
+    builds, build = Builds(spark, cfg.gold), run_id(run_ts)
+    out = builds.open(build)
+    built = build_tables(spark, inputs, out, cfg.tables, threads=cfg.threads, layout=cfg.layout)
     # Stored before it is judged, so that a failed run can be read up; the checks run once.
-    report = out.publish(run_checks(built, GOLD_CHECKS), REPORT_TABLE)
+    own = [c for c in checks if c.table in built and (c.parent is None or c.parent[0] in built)]
+    report = out.publish(run_checks(built, own), REPORT_TABLE)
+    failures = report.where(~F.col("passed")).count()
+    builds.record(build, failures)
     require_passed(report)
+    builds.switch(build, [*cfg.tables, REPORT_TABLE])
     return out, report

@@ -14,7 +14,7 @@ The open versions of older runs serve only to go back to such a run;
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from tristrata.operators.history import (
 )
 
 RUN = "run"
-LEDGER = "run string, opened long, closed long, open_versions long, expired boolean"
+LEDGER = "run string, opened long, closed long, open_versions long, expired boolean, mark timestamp"
 
 
 def run_id(run_ts: datetime) -> str:
@@ -55,6 +55,20 @@ def latest_run(spark: SparkSession, base: str, before: str | None = None) -> str
     return max((r for r in runs if before is None or r < before), default=None)
 
 
+def mark_before(spark: SparkSession, base: str, run: str) -> datetime | None:
+    """Load time up to which the newest run before ``run`` had read its log; None without such a run or mark."""
+    _start_ledger(spark, base)
+    before = latest_run(spark, base, before=run)
+    line = _ledger(spark, base).where((F.col(RUN) == before) & F.col("mark").isNotNull())
+    found = line.agg(F.max(F.unix_micros("mark"))).first()[0] if before else None
+    return None if found is None else datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=found)
+
+
+def _start_ledger(spark: SparkSession, base: str) -> None:
+    # Start an empty ledger on the first run; later this does nothing.
+    _ledger_line(spark, {}).limit(0).write.mode("ignore").json(f"{base}/ledger")
+
+
 def _runs(spark: SparkSession, base: str) -> dict[str, bool]:
     # One line per run, whatever the size of the history: run -> expired.
     runs = _ledger(spark, base).groupBy(RUN).agg(F.coalesce(F.bool_or("expired"), F.lit(False)))
@@ -96,9 +110,13 @@ def record_snapshot(
     check_cols: Sequence[str],
     run_ts: datetime,
     carried: Sequence[str] = (),
+    mark: datetime | None = None,
 ) -> dict[str, int]:
     """Run one snapshot against the stored history; returns its counts.
 
+    ``source`` may hold the keys that changed alone; the others keep their open
+    version. ``mark`` notes how far its log was read, for ``mark_before``.
+
     Runs come in order of time: only the newest may be repeated, and an older
     one raises, as does one whose previous run has expired.
 
@@ -107,8 +125,7 @@ def record_snapshot(
     """
     spark = source.sparkSession
     run = run_id(run_ts)
-    # Start an empty ledger on the first run; later this does nothing.
-    _ledger_line(spark, {}).limit(0).write.mode("ignore").json(f"{base}/ledger")
+    _start_ledger(spark, base)
     runs = _runs(spark, base)
     newest = max(runs, default=run)
     if run < newest:
@@ -133,7 +150,7 @@ def record_snapshot(
         F.count_if(is_open).alias("open_versions"),
     ).write.mode("overwrite").partitionBy(IS_CURRENT).parquet(f"{base}/versions/{RUN}={run}")
 
-    _ledger_line(spark, {RUN: run, **counts.get}).write.mode("append").json(f"{base}/ledger")
+    _ledger_line(spark, {RUN: run, "mark": mark, **counts.get}).write.mode("append").json(f"{base}/ledger")
     return counts.get
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
@@ -17,7 +18,9 @@ from tristrata.operators import (
     star_join,
 )
 from tristrata.plans import dims, facts
+from tristrata.plans.incremental import FACTS, FactStore, record_changes
 from tristrata.sources.history_store import read_history, record_snapshot
+from tristrata.sources.sinks import append_silver
 from tristrata.sources.workspace import fresh_folder
 from tristrata.workload import duck, gold_sql
 from tristrata.workload.registry import query
@@ -432,3 +435,47 @@ def asof_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ingested_at"),
         ["patient_address", "patient_email", "version_from"],
     ).drop("ingested_at")
+
+
+@query(
+    "scd2_incremental",
+    with_views(_snapshot_sql("patient_id", gold_sql.PATIENT, gold_sql.PATIENT_VERSIONS), "patient"),
+)
+def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history from a silver log that grows by a load before each run, of which a run reads the new day."""
+    folder = fresh_folder(spark, "scd2-incremental")
+    patient = silver(spark, sf_dir, "patient")
+    for text in LOAD_TIMES:
+        run_ts = session_time(spark, text)
+        append_silver(patient.where(F.col("ingested_at") == F.lit(run_ts)), f"{folder}/patient")
+        record_changes(
+            spark.read.parquet(f"{folder}/patient"), f"{folder}/history", dims.patient_snapshot_source,
+            ["patient_id"], dims.PATIENT, run_ts, [dims.SOURCE_TIME],
+        )
+    return _times_as_text(read_history(spark, f"{folder}/history"))
+
+
+# Loads of whole years, so that a silver log has few load days.
+_YEARLY = "date_trunc('year', ingested_at)"
+
+
+@query(
+    "gold_incremental",
+    with_views(
+        f""", yearly AS (SELECT * REPLACE ({_YEARLY} AS ingested_at) FROM hospital_fee)
+{gold_sql.fact_billing().replace("hospital_fee", "yearly")}""",
+        "hospital_fee",
+    ),
+)
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact kept up to date over three runs, each of which merges the load days that came since the one before."""
+    folder = fresh_folder(spark, "gold-incremental")
+    store = FactStore(spark, f"{folder}/gold", replace(FACTS["fact_billing"], period="yyyy"))
+    fees = silver(spark, sf_dir, "hospital_fee").withColumn("ingested_at", F.expr(_YEARLY).cast("timestamp"))
+    first = None
+    for last in ("1997-06-01", "1999-06-01", "2999-01-01"):
+        some = fees.where(F.col("ingested_at") < F.lit(last).cast("timestamp"))
+        append_silver(some if first is None else some.where(F.col("ingested_at") >= F.lit(first).cast("timestamp")), f"{folder}/log")
+        store.update(spark.read.parquet(f"{folder}/log"))
+        first = last
+    return store.read()

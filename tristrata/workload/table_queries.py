@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tristrata.operators import conform, pack_and_expand
 from tristrata.operators.quality import (
+    ChecksFailed,
     accepted_values,
     freshness,
     not_null,
@@ -24,6 +26,7 @@ from tristrata.plans.contracts import SILVER
 from tristrata.plans.gold import BUILDERS, GoldConfig, run_gold
 from tristrata.plans.silver import SilverConfig, run_silver
 from tristrata.sources import (
+    Builds,
     Tables,
     append_silver,
     fresh_folder,
@@ -34,6 +37,7 @@ from tristrata.sources import (
     read_raw_csv,
     reload_silver,
 )
+from tristrata.sources.history_store import run_id
 from tristrata.sources.landing import NULL_TOKENS
 from tristrata.sources.sinks import INGEST_DAY
 from tristrata.streaming import raw_stream, silver_stream, stream_to_silver
@@ -270,6 +274,60 @@ def gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+_SHOWN = ("dim_patient", "fact_appointments")
+
+
+def _patients_after(load: int) -> str:
+    """DuckDB: the patient dimension as of a load, as the rows of one build."""
+    return f"""SELECT patient_nk, patient_address, appointments
+FROM (SELECT patient_id AS patient_nk, patient_address FROM {duck.latest(
+    f"(SELECT * FROM patient WHERE ingested_at <= TIMESTAMP '{LOAD_TIMES[load]}')", "patient_id",
+    ["patient_name", "patient_gender", "patient_dob", "patient_address", "patient_phone", "patient_email"])})
+LEFT JOIN (SELECT patient_id, count(*) AS appointments
+  FROM {duck.latest("appointment", "appointment_id", [])} GROUP BY patient_id) ON patient_id = patient_nk"""
+
+
+@query(
+    "gold_switch",
+    with_views(
+        f"""SELECT 'first build' AS seen, * FROM ({_patients_after(0)})
+UNION ALL SELECT 'shown', * FROM ({_patients_after(1)})""",
+        "patient",
+        "appointment",
+    ),
+)
+def gold_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs into a database, the last of which fails a check: readers see the second, and may still open the first."""
+    mark = uuid.uuid4().hex[:12]
+    db, snapshots = f"gold_{mark}", fresh_folder(spark, "switch-snapshots")
+    stored = Tables(spark, f"silver_{mark}")
+    for name in ("doctors", "appointment"):
+        stored.publish(silver(spark, sf_dir, name), name)
+    for name in set(SILVER) - {"patient", "doctors", "appointment"}:
+        stored.publish(silver(spark, sf_dir, name).limit(0), name)
+    patient = silver(spark, sf_dir, "patient")
+    cfg = GoldConfig(f"silver_{mark}", db, snapshots, tables=_SHOWN)
+    for i, text in enumerate(LOAD_TIMES):
+        run_ts = session_time(spark, text)
+        known = patient.where(F.col("ingested_at") <= F.lit(run_ts))
+        if i == 2:
+            known = known.withColumn("patient_id", F.when(F.col("patient_id") % 5 != 0, F.col("patient_id")))
+        stored.publish(known, "patient")
+        try:
+            run_gold(spark, cfg, run_ts)
+        except ChecksFailed:
+            if i != 2:
+                raise
+
+    def seen(name: str, tables: Tables) -> DataFrame:
+        per_patient = tables.ref("fact_appointments").groupBy("patient_sk").agg(F.count(F.lit(1)).alias("appointments"))
+        rows = tables.ref("dim_patient").join(per_patient, "patient_sk", "left")
+        return rows.select(F.lit(name).alias("seen"), "patient_nk", "patient_address", "appointments")
+
+    first = Builds(spark, db).open(run_id(session_time(spark, LOAD_TIMES[0])))
+    return seen("first build", first).unionAll(seen("shown", Tables(spark, db)))
+
+
 # --- data quality -----------------------------------------------------------
 
 
