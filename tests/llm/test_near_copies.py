@@ -79,7 +79,7 @@ def test_adc_bound():
     assert (np.abs(book.distances(residual, code) - exact) <= error[None] + 1e-9).all()
 
 
-def test_search(spark):
+def test_search(spark, monkeypatch):
     x, _ = vectors(700, 16, 4)
     rows = [(i, x[i].tolist(), 0, "x") for i in range(len(x))] + [(1000, None, 0, "x"), (1050, [0.0] * 16, 0, "x")]
     df = spark.createDataFrame(rows, VECTORS)
@@ -94,10 +94,26 @@ def test_search(spark):
         assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
         found = sum(len(set(got[q]) & set(want[q])) for q in want) / (5 * len(want))
         assert found >= least
+    monkeypatch.setattr(rp_forest, "QUERIES", 4)  # several blocks of queries
+    again = rp_forest.nearest(df.unionByName(df), F.col("vec_id") % 50 == 0, 5, share=1.0).collect()
+    assert {(r.query_id, r.rank): r.vec_id for r in again} == {(q, k + 1): v for q, found in want.items() for k, v in enumerate(found)}
     few = rp_forest.nearest(df.where("vec_id IN (150, 151, 152)"), F.col("vec_id") == 150, 5).collect()
     assert [(r.rank, r.vec_id) for r in sorted(few)] == [(1, 151), (2, 152)]
 
 
+def test_search_among_copies(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(900, 16))
+    x[300:600] = x[300]  # a third of all rows
+    x[700] = 3 * x[300]  # not equal, but as near
+    df = spark.createDataFrame([(i, v.tolist(), 0, "x") for i, v in enumerate(x)], VECTORS)
+    got = {}
+    for r in rp_forest.nearest(df, F.col("vec_id").isin(300, 301, 599, 700, 5), 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got[300] == [301, 302, 303, 304, 305] and got[301] == [300, 302, 303, 304, 305]
+    assert got[599] == got[700] == [300, 301, 302, 303, 304] and len(got[5]) == 5
+
+
 def word_set(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()

@@ -4,6 +4,11 @@ Trees are grown on a bounded sample and every vector is put into one leaf of
 each. A query walks all trees through one priority queue: whichever unvisited
 branch, of any tree, lies closest across its planes comes next, until the
 leaves taken hold enough entries. Their rows are ranked by exact cosine.
+
+Vectors stay where they are: a bounded block of queries is sent to all tasks
+with the leaves each has taken, and a task goes once through its vectors and
+keeps the best of each query, so that what comes out is in proportion to the
+queries. Of equal vectors only as many take part as one answer can name.
 """
 
 from __future__ import annotations
@@ -18,20 +23,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tristrata.sources.workspace import fresh_folder
+
 from .tables import ship, written
-from .vectors import matrix, typed, unit, usable
+from .vectors import lists, matrix, typed, unit, usable
 
 #: Vectors that the trees are grown on, at most; all vectors are indexed.
 SAMPLE_ROWS = 8192
 TREES = 8
 #: Leaves are made for so many rows; depth grows with the table, up to DEPTH.
-LEAF_ROWS = 256
+LEAF_ROWS = 64
 DEPTH = 10
-#: Share of all entries (rows times trees) that a query looks at. Vectors without
-#: any cluster structure need this much for a recall of 0.95.
-SHARE = 0.25
-BLOCK = 2048
-QUERIES = 4096
+#: Share of all entries (distinct vectors times trees) that a query takes. Leaves of
+#: different trees share vectors: where nothing is clustered this is two thirds of all vectors.
+SHARE = 0.15
+#: Queries of a block, at most twice: 16 MB of vectors of 64 components and their leaves.
+QUERIES = 8192
+#: Vectors that meet the queries of a block at once, and queries compared at once.
+ROWS = 4096
+AT_ONCE = 512
 
 
 @dataclass
@@ -75,22 +85,93 @@ class Forest:
 
 
 def grow(sample: np.ndarray, trees: int, depth: int, seed: int = 17) -> Forest:
-    """Each node splits the sample rows it gets at the median of a random projection."""
+    """Each node splits the sample rows it gets at the median of a random direction.
+
+    The direction joins the centres of two groups of a few random rows, so that
+    it follows clusters where there are any.
+    """
     rng = np.random.default_rng(seed)
     dims = sample.shape[1]
-    planes = rng.normal(size=(trees, 2**depth - 1, dims))
-    planes /= np.linalg.norm(planes, axis=2, keepdims=True)
+    planes = np.zeros((trees, 2**depth - 1, dims))
     cuts = np.zeros((trees, 2**depth - 1))
     for t in range(trees):
         rows = {0: np.arange(len(sample))}
         for at in range(2**depth - 1):
             here = rows.pop(at)
+            plane = _direction(sample[rng.choice(here, min(len(here), 64), replace=False)], rng) if len(here) > 3 else np.zeros(dims)
+            length = np.linalg.norm(plane)
+            planes[t, at] = plane / length if length > 1e-9 else rng.normal(size=dims) / math.sqrt(dims)
             value = sample[here] @ planes[t, at]
             cuts[t, at] = np.median(value) if len(here) else 0.0
             rows[2 * at + 1], rows[2 * at + 2] = here[value <= cuts[t, at]], here[value > cuts[t, at]]
     return Forest(planes, cuts, depth)
 
 
+def _direction(some: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    centres = some[rng.choice(len(some), 2, replace=False)]
+    for _ in range(4):
+        side = (some @ centres.T).argmax(1)
+        if side.min() == side.max():
+            break
+        centres = np.stack([some[side == k].mean(0) for k in (0, 1)])
+        length = np.linalg.norm(centres, axis=1, keepdims=True)
+        if (length < 1e-9).any():
+            break
+        centres = centres / length
+    return centres[0] - centres[1]
+
+
+@dataclass
+class Block:
+    """Queries that are sent to all tasks: ids, unit vectors and the leaves taken, a bit each."""
+
+    ids: np.ndarray
+    x: np.ndarray
+    taken: np.ndarray
+
+    def leaves(self, trees: int, count: int) -> np.ndarray:
+        return np.unpackbits(self.taken, axis=1, count=trees * count).reshape(len(self.ids), trees, count).view(bool)
+
+
+class _Best:
+    """The best ``k`` of each query so far."""
+
+    def __init__(self, block: Block, k: int):
+        self.block, self.k = block, k
+        self.rows: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(block.ids)
+        self.least = np.full(len(block.ids), -np.inf)
+
+    def meet(self, taken: np.ndarray, ids: np.ndarray, x: np.ndarray, leaf: np.ndarray) -> None:
+        """Compare vectors with the queries that have taken one of their leaves."""
+        for at in range(0, len(self.block.ids), AT_ONCE):
+            q = slice(at, at + AT_ONCE)
+            met = np.zeros((len(self.block.ids[q]), len(ids)), bool)
+            for t in range(leaf.shape[1]):
+                met |= taken[q, t][:, leaf[:, t]]
+            score = self.block.x[q] @ x.T
+            score[~met | (self.block.ids[q, None] == ids[None])] = -np.inf
+            # The product's last digits depend on where a row stands, so what is near the cut is measured anew.
+            better = (score >= self.least[q, None] - 1e-12) & (score > -np.inf)
+            for i in np.flatnonzero(better.any(1)).tolist():
+                self._add(at + i, np.flatnonzero(better[i]), score[i], ids, x)
+
+    def _add(self, i: int, some: np.ndarray, score: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        if len(some) > self.k:
+            edge = np.partition(score[some], len(some) - self.k)[len(some) - self.k]
+            some = some[score[some] >= edge - 1e-12]
+        found = np.concatenate([self.rows[i][0], ids[some]])
+        exact = np.concatenate([self.rows[i][1], (x[some] * self.block.x[i]).sum(1)])
+        best = np.lexsort((found, -exact))[: self.k]
+        self.rows[i] = found[best], exact[best]
+        if len(best) == self.k:
+            self.least[i] = exact[best[-1]]
+
+    def batch(self) -> pa.RecordBatch:
+        count = [len(r[0]) for r in self.rows]
+        columns = [np.repeat(self.block.ids, count), *(np.concatenate(c) if count else np.zeros(0) for c in zip(*self.rows))]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES, share: float = SHARE, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest vectors found for each query, itself left out.
 
@@ -99,7 +180,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES
     smaller vec_id. With ``share`` 1 every row is compared, and the result is
     exact. Vectors that are null, empty, zero or hold null or non-finite
     components take no part, and vectors of different length don't meet. Of
-    repeated rows one takes part. Fewer than ``k`` candidates give all of them;
+    rows that repeat a vec_id the one with the greatest vector takes part. Fewer than ``k`` candidates give all of them;
     a query without any has no row.
     """
     spark = vectors.sparkSession
@@ -114,78 +195,74 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES
 
 
 def _nearest(rows: DataFrame, count: int, k: int, trees: int, share: float, sample_rows: int) -> DataFrame:
-    sample = unit(matrix(rows.select("x", "vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toArrow().column("x")))
+    spark = rows.sparkSession
     queries = rows.where("q").count()
     if not queries:
-        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    sample = unit(matrix(rows.select("x", "vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toArrow().column("x")))
     depth = min(DEPTH, max(0, math.ceil(math.log2(max(count / LEAF_ROWS, 1)))), max(0, int(math.log2(len(sample))) - 3))
-    forest = rows.sparkSession.sparkContext.broadcast(grow(sample, trees, depth))
-    names = ["tree", "leaf", "vec_id", "x"]
+    forest = spark.sparkContext.broadcast(grow(sample, trees, depth))
+    leaves = 2**depth
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 leaf = forest.value.leaves(unit(matrix(batch.column("x"))))
-                for t in range(trees):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), t, np.int32)), pa.array(leaf[:, t]), batch.column("vec_id"), batch.column("x")], names)
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), lists(leaf, pa.int32())], ["vec_id", "x", "leaf"])
 
-    indexed = rows.select("vec_id", "x").mapInArrow(index, "tree int, leaf int, vec_id bigint, x array<double>")
-    indexed = written(indexed, "forest")
+    # An answer can name k of equal vectors, and the query may be one more: those with the smallest ids. The rank
+    # is cut inside each task before the shuffle, so that a group of copies of any size sends a few rows a task.
+    same = Window.partitionBy("x").orderBy("vec_id")
+    stored = rows.groupBy("vec_id").agg(F.max("x").alias("x")).withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k + 1).drop("_copy")
+    stored = written(stored.mapInArrow(index, "vec_id bigint, x array<double>, leaf array<int>"), "forest")
     # Trees times leaves rows at most, both bounded.
-    sizes = np.zeros((trees, 2**depth), np.int64)
-    for r in indexed.groupBy("tree", "leaf").count().collect():
+    sizes = np.zeros((trees, leaves), np.int64)
+    for r in stored.select(F.posexplode("leaf").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect():
         sizes[r[0], r[1]] = r[2]
-    shared = rows.sparkSession.sparkContext.broadcast(sizes)
-    entries = share * count * trees if share < 1 else math.inf
+    entries = share * int(sizes.sum()) if share < 1 else math.inf
+    shared = spark.sparkContext.broadcast(sizes)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             x = unit(matrix(batch.column("x")))
-            for at in range(0, len(x), 256):
-                found = [(i, t, leaf) for i in range(at, min(at + 256, len(x))) for t, leaf in forest.value.search(x[i], shared.value, entries)]
-                row, tree, leaf = (np.array(c, np.int32) for c in zip(*found))
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(leaf), batch.column("vec_id").take(take), batch.column("x").take(take)], names)
-
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = rows.where("q").select("vec_id", "x").repartition(tasks, "vec_id").mapInArrow(walk, "tree int, leaf int, vec_id bigint, x array<double>")
-    # A leaf of any size (a group of copies shares one) is dealt into blocks; queries go to each block.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    big = written(indexed.groupBy("tree", "leaf").agg(F.count("*").alias("size")).select("tree", "leaf", blocks.alias("blocks")), "leaf-sizes")
-    stored = indexed.join(big, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    asked = asked.join(big, ["tree", "leaf"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Queries are dealt into parts too, so that a group is bounded on both sides.
-    parts = -(-queries // QUERIES)
-    stored = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
-
-    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [], [], []
-        if left.num_rows and right.num_rows:
-            q, c = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-            xq, xc = unit(matrix(left.column("x"))), unit(matrix(right.column("x")))
-            order = np.argsort(c, kind="stable")
-            c, xc = c[order], xc[order]
-            parts = []
-            for at in range(0, len(q), 256):
-                score = xq[at : at + 256] @ xc.T
-                score[q[at : at + 256, None] == c[None]] = -np.inf
-                for i, row in enumerate(score, at):
-                    # The product's last digits depend on where a row stands, so what is near the cut is measured anew.
-                    edge = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                    some = np.flatnonzero((row >= edge - 1e-12) & (row > -np.inf))
-                    exact = (xc[some] * xq[i]).sum(1)
-                    best = np.lexsort((c[some], -exact))[:k]
-                    parts.append((np.full(len(best), q[i]), c[some[best]], exact[best]))
-            out = tuple(np.concatenate(p) for p in zip(*parts))
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
-
-    keys = ["tree", "leaf", "block", "part"]
-    asked, stored = (side.select(*keys, "vec_id", "x").repartition(tasks, *keys).groupBy(*keys) for side in (asked, stored))
-    near = asked.cogroup(stored).applyInArrow(rank, "query_id bigint, vec_id bigint, score double")
-    near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            taken = np.zeros((len(x), trees * leaves), bool)
+            for i in range(len(x)):
+                at = np.array(forest.value.search(x[i], shared.value, entries), np.int64).reshape(-1, 2)
+                taken[i, at[:, 0] * leaves + at[:, 1]] = True
+            packed = [row.tobytes() for row in np.packbits(taken, axis=1)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(packed, pa.binary())], ["vec_id", "x", "taken"])
+
+    asked = rows.where("q").groupBy("vec_id").agg(F.max("x").alias("x")).mapInArrow(walk, "vec_id bigint, x array<double>, taken binary")
+    blocks = -(-queries // QUERIES)
+    asked = written(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")), "queries")
+    # As many tasks as run at a time: each keeps the best of every query of a block.
+    stored = stored.coalesce(spark.sparkContext.defaultParallelism)
+    folder = fresh_folder(spark, "near")
+    for b in range(blocks):
+        found = stored.mapInArrow(_ranker(spark, asked.where(F.col("block") == b), trees, leaves, k), "query_id bigint, vec_id bigint, score double")
+        found.write.mode("append").parquet(folder)
+    near = spark.read.schema("query_id bigint, vec_id bigint, score double").parquet(folder)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return near.select("query_id", "rank", "vec_id", "score")
+
+
+def _ranker(spark, asked: DataFrame, trees: int, leaves: int, k: int):
+    """A pass over vectors that ranks them for one block of queries, a bounded number of rows."""
+    table = asked.orderBy("vec_id").select("vec_id", "x", "taken").toArrow()
+    taken = np.frombuffer(b"".join(table.column("taken").to_pylist()), np.uint8).reshape(table.num_rows, -(-trees * leaves // 8))
+    block = Block(table.column("vec_id").to_numpy(), unit(matrix(table.column("x"))) if table.num_rows else np.zeros((0, 0)), taken)
+    sent = spark.sparkContext.broadcast(block)
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not len(sent.value.ids):
+            return
+        best, taken = _Best(sent.value, k), sent.value.leaves(trees, leaves)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                leaf = some.column("leaf").flatten().to_numpy().reshape(-1, trees)
+                best.meet(taken, some.column("vec_id").to_numpy(), unit(matrix(some.column("x"))), leaf)
+        yield best.batch()
+
+    return rank
