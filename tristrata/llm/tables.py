@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import pickle
 import tempfile
 import zipfile
@@ -16,10 +19,17 @@ from tristrata.sources.workspace import fresh_folder
 
 
 _shipped: set[str] = set()
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python, once for each application."""
+    """Give this package to the executors' Python, once for each application.
+
+    Where the session does not bound the bytes of Arrow batches, they are held
+    at 4 MB, or one row: a number of rows alone says nothing of texts.
+    """
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, "4m")
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
@@ -50,14 +60,25 @@ def learned(rows: DataFrame, learn: Callable[[pa.Table], object]) -> object:
     """
 
     def run(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(table.select(columns)))], pa.binary())], ["learned"])
+        table = pa.Table.from_batches(list(batches)).select(columns)
+        result = pa.array([pickle.dumps(learn(table))], pa.binary())
+        del table
+        _give_back()
+        yield pa.RecordBatch.from_arrays([result], ["learned"])
 
     columns = rows.columns
     found = rows.groupBy(F.lit(0).alias("_all")).applyInArrow(run, "learned binary").collect()
     return pickle.loads(found[0].learned) if found else learn(rows.limit(0).toArrow())
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: this worker goes on to serve other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     """Whether a document belongs to the fold that no model learns from; a null id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

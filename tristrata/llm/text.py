@@ -1,6 +1,6 @@
 """Words of Arrow text columns as numpy arrays: no Python object per word.
 
-The bytes of a column are cut into slices of about one megabyte. Slices end
+The bytes of a column are cut into slices of about a quarter of a megabyte. Slices end
 between texts, or inside a very long text at the end of a word, so memory
 stays bounded while every text is read whole.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(32)
