@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.operators.conform import conform
+from tristrata.operators.quarantine import misfits, split_rows
 from tristrata.plans.contracts import SILVER
 from tristrata.sources.bronze import INGEST_DT, read_bronze
+from tristrata.sources.landing import BAD_ROW, SOURCE_FILE
 from tristrata.sources.sinks import WriteLayout, append_silver, ensure_db, ensure_table, reload_silver
 
-REPORT = "table string, status string, rows long, error string"
+REPORT = "table string, status string, rows long, error string, bad_rows long, misfits map<string, long>"
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,12 @@ class SilverConfig:
     ``silver`` is a folder or a database. ``ingest_dt`` limits the run to the
     raw files of one day. ``replace`` makes the load idempotent: it replaces
     the load days it writes instead of appending to them.
+
+    Rows that don't fit their header never enter silver; they go to
+    ``quarantine/<table>`` (in a database ``quarantine_<table>``) with reason,
+    source file and text. ``keyed`` does the same with rows whose key is empty
+    or unreadable. A load with a larger share of bad rows than ``max_bad_share``
+    fails before anything is stored in silver.
     """
 
     bronze: str
@@ -34,34 +42,75 @@ class SilverConfig:
     replace: bool = False
     threads: int = 4
     layout: WriteLayout | None = None
+    keyed: bool = False
+    max_bad_share: float | None = None
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load stored: rows, rows set apart, and by column the values that did not fit their type."""
+
+    rows: int
+    bad_rows: int
+    misfits: dict[str, int]
+
+
+class TooManyBadRows(Exception):
+    """A load holds more bad rows than its configuration allows."""
 
 
 def silver_target(silver: str, table: str) -> str:
     return f"{silver.rstrip('/')}/{table}" if "/" in silver else f"{silver}.{table}"
 
 
-def load_table(spark: SparkSession, cfg: SilverConfig, table: str, run_ts: datetime) -> int:
-    """Conform one raw entity and store it; returns the number of rows.
+def quarantine_target(silver: str, table: str) -> str:
+    return f"{silver.rstrip('/')}/quarantine/{table}" if "/" in silver else f"{silver}.quarantine_{table}"
+
+
+def _set_apart(spark: SparkSession, cfg: SilverConfig, table: str, raw: DataFrame, bad: DataFrame) -> int:
+    """Store the bad rows; returns their number, and raises if they are too many."""
+    counts = Observation()
+    if cfg.max_bad_share is not None:
+        total = raw.count()
+    target = quarantine_target(cfg.silver, table)
+    if "/" not in cfg.silver:
+        ensure_table(spark, target, bad.schema)
+    bad = bad.observe(counts, F.count(F.lit(1)).alias("bad"))
+    (reload_silver if cfg.replace else append_silver)(bad, target)
+    found = counts.get["bad"]
+    if cfg.max_bad_share is not None and found > cfg.max_bad_share * total:
+        raise TooManyBadRows(f"{table}: {found} of {total} rows are bad")
+    return found
+
+
+def load_table(spark: SparkSession, cfg: SilverConfig, table: str, run_ts: datetime) -> Loaded:
+    """Conform one raw entity and store it.
 
     The day of the raw file is kept beside the load time: several days that
     arrive in one run share the latter.
     """
     contract = SILVER[table]
     raw = read_bronze(spark, cfg.bronze, contract.raw, cfg.ingest_dt)
-    rows = conform(raw, contract, run_ts, carry=[INGEST_DT])
+    good, bad_rows = raw, 0
+    if BAD_ROW in raw.columns or cfg.keyed:
+        good, bad = split_rows(raw, contract, BAD_ROW, SOURCE_FILE, run_ts, cfg.keyed)
+        bad_rows = _set_apart(spark, cfg, table, raw, bad)
+    counted, wrong = Observation(), misfits(good, contract)
+    # Counted where the rows pass by on their way to the table.
+    good = good.observe(counted, F.count(F.lit(1)).alias("rows"), *[c.alias(f"misfit_{t}") for t, c in wrong.items()])
+    rows = conform(good, contract, run_ts, carry=[INGEST_DT])
     target = silver_target(cfg.silver, table)
     if "/" not in cfg.silver:
         ensure_table(spark, target, rows.schema)
-    counted = Observation()
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     (reload_silver if cfg.replace else append_silver)(rows, target, cfg.layout)
-    return counted.get["rows"]
+    found = counted.get
+    return Loaded(found["rows"], bad_rows, {t: found[f"misfit_{t}"] for t in wrong if found[f"misfit_{t}"]})
 
 
 def run_silver(
     spark: SparkSession, cfg: SilverConfig, run_ts: datetime, raise_failed: bool = True
 ) -> DataFrame:
-    """Load every silver table and report on each: (table, status, rows, error).
+    """Load every silver table and report on each: (table, status, rows, error, bad_rows, misfits).
 
     The tables are independent, so a few are submitted at a time; one that
     fails does not stop the others, but once all were tried the run raises,
@@ -72,13 +121,14 @@ def run_silver(
 
     def load(table: str) -> tuple:
         try:
-            return (table, "ok", load_table(spark, cfg, table, run_ts), None)
+            done = load_table(spark, cfg, table, run_ts)
+            return (table, "ok", done.rows, None, done.bad_rows, done.misfits)
         except Exception as error:  # noqa: BLE001 - reported, the rest continue
-            return (table, "failed", None, str(error).split("\n")[0])
+            return (table, "failed", None, str(error).split("\n")[0], None, None)
 
     with ThreadPoolExecutor(cfg.threads) as pool:
         report = list(pool.map(load, cfg.tables))
-    failed = [f"{table}: {error}" for table, status, _, error in report if status == "failed"]
+    failed = [f"{row[0]}: {row[3]}" for row in report if row[1] == "failed"]
     if failed and raise_failed:
         raise RuntimeError(f"{len(failed)} of {len(report)} silver tables failed: {'; '.join(failed)}")
     return spark.createDataFrame(report, REPORT)

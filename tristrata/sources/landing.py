@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tristrata.sources.bronze import INGEST_DT
 from tristrata.sources.sinks import WriteLayout
 
 BAD_ROW = "_corrupt_record"
+SOURCE_FILE = "_source_file"
 
 # Texts that stand for a missing value in a raw CSV cell.
 NULL_TOKENS = (
@@ -26,6 +29,9 @@ NULL_TOKENS = (
 # row with path, time, length and content per file.
 READERS = {"csv": "csv", "json": "json", "orc": "orc", "parquet": "parquet", "txt": "text"}
 OPAQUE = "binaryFile"
+# Endings of compressed text that Spark's readers unpack by themselves.
+PACKED = ("gz", "bz2", "deflate")
+TEXT = ("csv", "json", "txt")
 
 REPORT = "entity string, format string, status string, rows long, bad_rows long, error string"
 
@@ -42,6 +48,7 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = False,
+    source_file: bool = False,
 ) -> DataFrame:
     """CSV with a header line, every column as text.
 
@@ -49,7 +56,9 @@ def read_raw_csv(
     time as a timestamp of today and drops leading zeros. Given ``columns``, no
     job runs at all and the header is checked against them. Rows that do not fit
     the header are kept, with their text in ``_corrupt_record``. Files stay
-    splittable unless ``multi_line`` allows line breaks inside quotes.
+    splittable unless ``multi_line`` allows line breaks inside quotes; files
+    packed as a whole (``x.csv.gz``) are not. ``source_file`` adds the path each
+    row comes from.
     """
     reader = (
         spark.read.option("header", True)
@@ -67,7 +76,8 @@ def read_raw_csv(
     df = reader.schema(schema).option("enforceSchema", False).csv(paths)
     missing = ["", *null_tokens]
     tidy = [F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`")).alias(c) for c in columns]
-    return df.select(*tidy, BAD_ROW)
+    origin = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if source_file else []
+    return df.select(*tidy, BAD_ROW, *origin)
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], fmt: str, **kwargs) -> DataFrame:
@@ -86,7 +96,8 @@ def discover(spark: SparkSession, root: str, entities: Sequence[str] = ()) -> Da
 
     Columns: path, entity, format, bytes, modified. A file belongs to the
     longest of ``entities`` that its name, else its folder, starts with; without
-    any it is an entity of its own. Only file metadata is read.
+    any it is an entity of its own. Packed text counts as what it holds:
+    ``x.csv.gz`` is CSV. Only file metadata is read.
     """
     files = (
         spark.read.format("binaryFile")
@@ -95,6 +106,7 @@ def discover(spark: SparkSession, root: str, entities: Sequence[str] = ()) -> Da
         .select("path", "length", "modificationTime")
     )
     name = F.lower(F.element_at(F.split("path", "/"), -1))
+    name = F.regexp_replace(name, rf"(\.(?:{'|'.join(TEXT)}))\.(?:{'|'.join(PACKED)})$", "$1")
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     folder = F.lower(F.try_element_at(F.split("path", "/"), F.lit(-2)))
     by_length = sorted(entities, key=len, reverse=True)
@@ -127,22 +139,38 @@ def land(
     writer.parquet(f"{base.rstrip('/')}/{entity}")
 
 
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> tuple[list[list[str]], list[str]]:
+    """CSV files with the same first line, and those that have none or can't be opened.
+
+    One distributed query whatever the number of files: each task keeps the
+    first line of the files it begins, and one row per file is shuffled. Only
+    the groups come back.
+    """
+    lines = spark.read.option("ignoreCorruptFiles", True).text(list(paths)).select(
+        "value", F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    groups = first.groupBy(F.regexp_replace("header", "^\ufeff", "").alias("header")).agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
+    given = {_plain_path(p): p for p in paths}
+    found = [[given[_plain_path(unquote(p))] for p in g.paths] for g in groups]
+    known = {p for group in found for p in group}
+    return found, [p for p in paths if p not in known]
+
+
+def _plain_path(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
 def _by_header(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """CSV files whose headers differ, lined up by column name.
 
     Files with the same header are read together. Also returns the files that
-    could not be opened.
+    could not be opened or are empty.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    unreadable = []
-    for path in paths:
-        try:
-            header = tuple(spark.read.option("header", True).csv(path).columns)
-        except Exception:  # noqa: BLE001 - reported by the caller
-            unreadable.append(path)
-        else:
-            groups.setdefault(header, []).append(path)
-    frames = [read_raw_csv(spark, p, header) for header, p in groups.items()]
+    groups, unreadable = header_groups(spark, paths)
+    if not groups:
+        raise ValueError("no file could be read")
+    frames = [read_raw_csv(spark, group, spark.read.option("header", True).csv(group[0]).columns, source_file=True) for group in groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), unreadable
 
 
@@ -187,14 +215,14 @@ def land_all(
 
         try:
             try:
-                rows, bad = store(read_raw(spark, paths, fmt))
+                rows, bad = store(read_raw(spark, paths, fmt, **({"source_file": True} if fmt == "csv" else {})))
                 return (target, fmt, "ok", rows, bad, None)
             except Exception:
                 if fmt != "csv" or len(paths) == 1:
                     raise
             df, unreadable = _by_header(spark, paths)
             rows, bad = store(df)
-            note = f"not read: {', '.join(unreadable)}" if unreadable else None
+            note = f"not read: {', '.join(unreadable[:20])}{' and more' if len(unreadable) > 20 else ''}" if unreadable else None
             return (target, fmt, "partial" if unreadable else "ok", rows, bad, note)
         except Exception as error:  # noqa: BLE001 - reported, the rest continue
             return (target, fmt, "failed", None, None, str(error).split("\n")[0])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.operators import conform, pack_and_expand
+from tristrata.operators.quarantine import MALFORMED
 from tristrata.operators.quality import (
     ChecksFailed,
     accepted_values,
@@ -24,11 +25,14 @@ from tristrata.plans import dims, facts
 from tristrata.plans.checks import GOLD_CHECKS, NOT_NULL, UNIQUE
 from tristrata.plans.contracts import SILVER
 from tristrata.plans.gold import BUILDERS, GoldConfig, run_gold
-from tristrata.plans.silver import SilverConfig, run_silver
+from tristrata.plans.silver import SilverConfig, quarantine_target, run_silver
 from tristrata.sources import (
     Builds,
     Tables,
+    WriteLayout,
     append_silver,
+    ensure_db,
+    ensure_table,
     fresh_folder,
     land,
     land_all,
@@ -36,6 +40,7 @@ from tristrata.sources import (
     read_raw,
     read_raw_csv,
     reload_silver,
+    stringify,
 )
 from tristrata.sources.history_store import run_id
 from tristrata.sources.landing import NULL_TOKENS
@@ -43,7 +48,7 @@ from tristrata.sources.sinks import INGEST_DAY
 from tristrata.streaming import raw_stream, silver_stream, stream_to_silver
 from tristrata.workload import duck, gold_sql
 from tristrata.workload.gold_queries import doctor_history, patient_history, session_time
-from tristrata.workload.registry import query
+from tristrata.workload.registry import ORACLES, query
 from tristrata.workload.views import LOAD_TIMES, RAW_SQL, raw, silver, with_views
 
 DAY = date(2024, 1, 1)
@@ -92,10 +97,10 @@ _APPOINTMENT_COLUMNS = SILVER["appointment"].raw_columns
 _NULLS = ", ".join(f"'{t}'" for t in ("", *NULL_TOKENS))
 
 
-def _export_csv(df: DataFrame, path: str) -> None:
+def _export_csv(df: DataFrame, path: str, **options: str) -> None:
     writer = df.write.option("header", True).option("escape", '"')
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    writer.options(**spaces).csv(path)
+    writer.options(**spaces, **options).csv(path)
 
 
 @query(
@@ -118,6 +123,39 @@ def bronze_land_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, f"{folder}/bronze", "appointments").drop("_corrupt_record")
 
 
+@query("bronze_land_gzip", ORACLES["bronze_land_csv"])
+def bronze_land_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed CSV under the landing folder is landed as its rows."""
+    folder = fresh_folder(spark, "land-gzip")
+    _export_csv(raw(spark, sf_dir, "appointment").repartition(6), f"{folder}/raw/appointments", compression="gzip")
+    land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, ["appointments"])
+    return read_bronze(spark, f"{folder}/bronze", "appointments").select(*_APPOINTMENT_COLUMNS, "ingest_dt")
+
+
+def _tidy(*columns: str) -> str:
+    return ", ".join(f"CASE WHEN {c} NOT IN ({_NULLS}) THEN {c} END AS {c}" for c in columns)
+
+
+@query(
+    "bronze_land_drift",
+    with_views(
+        f"""SELECT {_tidy("lab_result_id", "value")}, NULL::VARCHAR AS unit FROM ({RAW_SQL['lab_results']})
+UNION ALL SELECT {_tidy("lab_result_id")}, NULL, {_tidy("unit")} FROM ({RAW_SQL['lab_results']})
+UNION ALL SELECT {_tidy("lab_result_id", "value", "unit")} FROM ({RAW_SQL['lab_results']})""",
+        "lab_results",
+    ),
+)
+def bronze_land_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one entity with three different headers, some of them packed, lined up by column name."""
+    folder = fresh_folder(spark, "land-drift")
+    lab = raw(spark, sf_dir, "lab_results").repartition(4)
+    _export_csv(lab.select("lab_result_id", "value"), f"{folder}/raw/lab_results")
+    _export_csv(lab.select("unit", "lab_result_id"), f"{folder}/raw/lab_results_2", compression="gzip")
+    _export_csv(lab.select("value", "unit", "lab_result_id"), f"{folder}/raw/lab_results_3")
+    land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, ["lab_results"])
+    return read_bronze(spark, f"{folder}/bronze", "lab_results").select("lab_result_id", "value", "unit")
+
+
 @query(
     "bronze_land_parquet",
     with_views(
@@ -234,6 +272,64 @@ def silver_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("patient_id", "patient_name", "patient_address", day)
 
 
+# Every seventh line has a field too many.
+_SURPLUS = "TRY_CAST(trim(doctor_id) AS DOUBLE) % 7 = 0"
+
+
+@query(
+    "silver_quarantine",
+    with_views(
+        f""", raw_doctors AS ({RAW_SQL["doctors"]}),
+good AS (SELECT * FROM raw_doctors WHERE NOT coalesce({_SURPLUS}, false))
+SELECT 'silver' AS place, {duck.to_int("doctor_id")} AS doctor_id, Name AS doctor_name, email AS doctor_email, NULL AS reason, NULL AS record
+FROM good
+UNION ALL SELECT 'quarantine', NULL, NULL, NULL, '{MALFORMED}',
+  concat_ws(',', doctor_id, Name, specialization, phone, email, 'surplus') FROM raw_doctors WHERE {_SURPLUS}""",
+        "doctors",
+    ),
+)
+def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines with a field too many are set apart with reason and text, and never enter silver."""
+    folder = fresh_folder(spark, "silver-quarantine")
+    doctors = raw(spark, sf_dir, "doctors")
+    surplus = F.when(F.expr(_SURPLUS), ",surplus").otherwise("")
+    # Lines as one column under the header's text, so that nothing is quoted.
+    lines = doctors.select(F.concat(F.concat_ws(",", *doctors.columns), surplus).alias(",".join(doctors.columns)))
+    _export_csv(lines, f"{folder}/raw/doctors", sep="\u0001")
+    land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, ["doctors"])
+    cfg = SilverConfig(f"{folder}/bronze", f"{folder}/silver", DAY, ["doctors"], max_bad_share=0.5)
+    run_silver(spark, cfg, session_time(spark, LOAD_TIMES[0]))
+    none = F.lit(None).cast("string")
+    stored = spark.read.parquet(f"{folder}/silver/doctors").select(
+        F.lit("silver").alias("place"), "doctor_id", "doctor_name", "doctor_email", none.alias("reason"), none.alias("record")
+    )
+    apart = spark.read.parquet(quarantine_target(f"{folder}/silver", "doctors")).select(
+        F.lit("quarantine").alias("place"), F.lit(None).cast("int").alias("doctor_id"), none.alias("doctor_name"),
+        none.alias("doctor_email"), "reason", "record",
+    )
+    return stored.unionAll(apart)
+
+
+@query(
+    "silver_append_table",
+    f"""SELECT * FROM ({conform_sql("hospital_fee")})
+UNION ALL SELECT * FROM ({conform_sql("hospital_fee")})""",
+)
+def silver_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads appended to a table of the catalog, one of them repeated by a reload; raw columns were made text first."""
+    mark = uuid.uuid4().hex[:12]
+    ensure_db(spark, f"silver_{mark}", f"{fresh_folder(spark, 'silver-table')}/db")
+    target = f"silver_{mark}.hospital_fee"
+    typed = raw(spark, sf_dir, "hospital_fee").withColumn("appointment_id", F.col("appointment_id").cast("long"))
+    rows = stringify(typed, ["appointment_id"])
+    layout = WriteLayout(compression="zstd", row_group_bytes=64 << 20, files=2)
+    for i, text in enumerate((*LOAD_TIMES[:2], LOAD_TIMES[1])):
+        load = conform(rows, SILVER["hospital_fee"], session_time(spark, text))
+        ensure_table(spark, target, load.schema)
+        (reload_silver if i == 2 else append_silver)(load, target, layout)
+    return spark.table(target).select(*SILVER["hospital_fee"].target_columns)
+
+
 _RAW_COUNTS = "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"table\", 'ok' AS status, count(*) AS \"rows\" FROM {c}" for c in SILVER
 )
