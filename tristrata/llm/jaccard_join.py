@@ -164,7 +164,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
             k = len(rows)
             yield pa.RecordBatch.from_arrays([pa.nulls(k, none), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, word_lists), pa.array([i for i, _ in rows], pa.int32()), pa.array([zlib.compress(c, 1) for _, c in rows], pa.binary())], names)
 
-    signed = written(texts.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bits array<bigint>, part int, counts binary"), "signatures")
+    # As many tasks as run at a time, twice: each writes its own counters, whose size does not depend on its share.
+    few = texts.coalesce(2 * spark.sparkContext.defaultParallelism)
+    signed = written(few.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bits array<bigint>, part int, counts binary"), "signatures")
     members_of = signed.where("part IS NULL").select("doc_id", "sig", "n", "bits")
     members = members_of.select("doc_id", "sig", "n")
 
