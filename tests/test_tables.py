@@ -264,6 +264,24 @@ def test_compact_touches_fragmented_days_only(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == before
 
 
+def test_compaction_leaves_large_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    append_silver(silver_rows(spark, 20_000, 1).coalesce(1), path)
+    large = next((tmp_path / "t").rglob("*.parquet"))
+    fragmented(spark, path)
+    target = int(large.stat().st_size / 0.8)
+    small = sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet") if f != large)
+    seen, whole = [], upkeep._replace_files
+    monkeypatch.setattr(upkeep, "_replace_files", lambda *args: seen.append(whole(*args)) or seen[-1])
+    before = spark.read.parquet(path).count()
+    (report,) = maintain(spark, {"t": path}, date(2024, 1, 5), target_bytes=target).collect()
+    assert large.exists() and seen[0].bytes_read == small and seen[0].rows == 600
+    assert spark.read.parquet(path).count() == before
+    left = [f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet")]
+    assert (report.files_after, report.bytes_after) == (len(left), sum(left))
+    assert compact(spark, path, target_bytes=target) == 0
+
+
 def test_compaction_keeps_what_is_appended_meanwhile(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     fragmented(spark, path)

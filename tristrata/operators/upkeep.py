@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.sources.sinks import INGEST_DAY
+from tristrata.sources.workspace import cut_lineage
 
 TARGET_BYTES = 128 * 1024 * 1024
+#: Files of this share of the target or more stay as they are.
+LARGE = 0.75
+#: Calls to the file system at a time during a swap.
+CALLS = 16
 #: Prefix of the folder, hidden from readers, that a compaction writes to first.
 STAGED = "_compacting-"
 REPORT = (
@@ -48,6 +55,17 @@ def fragmented_days(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataF
     return files.withColumn("wanted", wanted).where(F.col("files") > F.col("wanted"))
 
 
+def small_files(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Files that a compaction may merge."""
+    return files.where(F.col("length") < LARGE * target_bytes)
+
+
+def _each(call: Callable, items: Iterable) -> None:
+    """Calls that don't depend on each other, some at a time."""
+    with ThreadPoolExecutor(CALLS) as pool:
+        list(pool.map(call, items))
+
+
 def _hadoop(spark: SparkSession, path: str):
     """The file system of a path and the constructor of its paths."""
     make = spark._jvm.org.apache.hadoop.fs.Path
@@ -69,41 +87,64 @@ def finish_compactions(spark: SparkSession, path: str) -> None:
         if fs.exists(make(stage, "_replaced/_SUCCESS")):
             replaced = spark.read.parquet(f"{stage.toString()}/_replaced").collect()
             data = make(stage, "data")
-            base, found = len(fs.makeQualified(data).toString()) + 1, fs.listFiles(data, True)
-            while found.hasNext():
-                file = found.next().getPath()
-                if file.getName().endswith(".parquet"):
-                    target = make(path, fs.makeQualified(file).toString()[base:])
-                    fs.mkdirs(target.getParent())
-                    if not fs.rename(file, target):
-                        raise OSError(f"{file.toString()} could not be moved to {target.toString()}")
-            for r in replaced:
-                fs.delete(make(r.path), False)
+            base, moved = len(fs.makeQualified(data).toString()) + 1, _staged(fs, data)
+
+            def move(file: str, base: int = base) -> None:
+                target = make(path, file[base:])
+                fs.mkdirs(target.getParent())
+                if not fs.rename(make(file), target):
+                    raise OSError(f"{file} could not be moved to {target.toString()}")
+
+            _each(move, moved)
+            _each(lambda r: fs.delete(make(r.path), False), replaced)
         fs.delete(stage, True)
     spark.catalog.refreshByPath(path)
 
 
-def _replace_files(rows: DataFrame, path: str, files: Sequence[str], parts: Sequence[str]) -> int:
+def _staged(fs, data) -> dict[str, int]:
+    """Paths and sizes of the data files under a folder."""
+    out, found = {}, fs.listFiles(data, True)
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName().endswith(".parquet"):
+            out[fs.makeQualified(status.getPath()).toString()] = status.getLen()
+    return out
+
+
+@dataclass(frozen=True)
+class Rewritten:
+    """What a compaction did: rows and files it read, and files it wrote, with their bytes."""
+
+    rows: int = 0
+    files_read: int = 0
+    bytes_read: int = 0
+    files_written: int = 0
+    bytes_written: int = 0
+
+
+def _replace_files(rows: DataFrame, path: str, files: dict[str, int], parts: Sequence[str]) -> Rewritten:
     spark = rows.sparkSession
     stage = f"{path.rstrip('/')}/{STAGED}{uuid.uuid4().hex}"
     counted = Observation()
     rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*parts).parquet(f"{stage}/data")
     fs, make = _hadoop(spark, path)
-    gone = [f for f in files if not fs.exists(make(f))]
+    gone: list[str] = []
+    _each(lambda f: None if fs.exists(make(f)) else gone.append(f), files)
     if gone or not counted.get["rows"]:
         fs.delete(make(stage), True)
         if gone:
-            raise RuntimeError(f"{len(gone)} files of {path} were replaced during the compaction, e.g. {gone[0]}")
-        return 0
+            raise RuntimeError(f"{len(gone)} files of {path} were replaced during the compaction, e.g. {min(gone)}")
+        return Rewritten()
+    new = _staged(fs, make(stage, "data"))
     spark.createDataFrame([(f,) for f in files], "path string").coalesce(1).write.parquet(f"{stage}/_replaced")
     finish_compactions(spark, path)
-    return counted.get["rows"]
+    return Rewritten(counted.get["rows"], len(files), sum(files.values()), len(new), sum(new.values()))
 
 
 def compact_day(
     spark: SparkSession, path: str, day: date, target_bytes: int = TARGET_BYTES
 ) -> int:
-    """Rewrite one load day in files of about ``target_bytes``; returns its rows.
+    """Rewrite the small files of one load day in files of about ``target_bytes``; returns their rows.
 
     Spark packs small files into scan tasks of bounded size, and merging those
     tasks needs no shuffle: the rows of a day are read and written once, by as
@@ -111,7 +152,7 @@ def compact_day(
     loads that arrive meanwhile.
     """
     finish_compactions(spark, path)
-    return _compact(spark, path, _listing(spark, path, day), target_bytes, one_day=True)
+    return _compact(spark, path, _listing(spark, path, day), target_bytes, one_day=True).rows
 
 
 def compact(
@@ -122,7 +163,8 @@ def compact(
 ) -> int:
     """Compact every fragmented day of a table in one job; returns rows rewritten.
 
-    Days already stored in few enough files are not touched, and further
+    Only files clearly smaller than ``target_bytes`` are read and written: large
+    ones stay, and so do days whose small files are few enough. Further
     partition columns (the batch of a streamed table) stay. The scan mixes
     days in a task, so rows are rebalanced by day first: adaptive execution
     merges small days into one task and splits a day that is large. The driver
@@ -137,21 +179,23 @@ def compact(
     at a time may run on a table.
     """
     finish_compactions(spark, path)
-    files = _listing(spark, path)
-    if since is not None:
-        files = files.where(F.col(INGEST_DAY) >= F.lit(since))
-    return _compact(spark, path, files, target_bytes)
+    return _compact(spark, path, _since(_listing(spark, path), since), target_bytes).rows
+
+
+def _since(files: DataFrame, since: date | None) -> DataFrame:
+    return files if since is None else files.where(F.col(INGEST_DAY) >= F.lit(since))
 
 
-def _compact(spark: SparkSession, path: str, files: DataFrame, target_bytes: int, one_day: bool = False) -> int:
+def _compact(spark: SparkSession, path: str, files: DataFrame, target_bytes: int, one_day: bool = False) -> Rewritten:
     parts = [c for c in files.columns if c not in ("path", "length")]
+    files = small_files(files, target_bytes)
     sizes = _sizes(files, parts)
     wanted = sizes if one_day else fragmented_days(sizes, target_bytes)
     same = [F.col(f"w.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts]
     chosen = files.alias("f").join(wanted.alias("w"), same, "left_semi").select("path", "length").collect()
-    if not chosen:
-        return 0
-    names = [r.path for r in chosen]
+    if len(chosen) < (2 if one_day else 1):
+        return Rewritten()
+    names = {r.path: r.length for r in chosen}
     rows = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*names)
     if one_day:
         rows = rows.coalesce(max(1, math.ceil(sum(r.length for r in chosen) / target_bytes)))
@@ -175,10 +219,12 @@ def maintain(
     since = None if window_days is None else as_of - timedelta(days=window_days)
     report = []
     for name, path in tables.items():
-        before = _totals(day_files(spark, path))
-        rows = compact(spark, path, since, target_bytes)
-        after = _totals(day_files(spark, path))
-        report.append((name, before[0], before[1], after[1], before[2], after[2], rows))
+        finish_compactions(spark, path)
+        files = cut_lineage(_listing(spark, path))  # listed once: one row per file
+        days, count, size = _totals(_sizes(files, [INGEST_DAY]))
+        done = _compact(spark, path, _since(files, since), target_bytes)
+        after = count - done.files_read + done.files_written, size - done.bytes_read + done.bytes_written
+        report.append((name, days, count, after[0], size, after[1], done.rows))
     return spark.createDataFrame(report, REPORT)
 
 

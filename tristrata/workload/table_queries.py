@@ -598,6 +598,30 @@ def compact_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_vitals(spark, target)
 
 
+@query("compact_under_append", ORACLES["compact_all"].replace("FROM vital_signs", "FROM (SELECT * FROM vital_signs UNION ALL SELECT * FROM vital_signs WHERE vital_id % 3 = 0)"))
+def compact_under_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compaction between two appends; the second lands in days that were just compacted and is compacted with them."""
+    target = _fragmented(spark, sf_dir, "compact-append")
+    compact(spark, target)
+    append_silver(silver(spark, sf_dir, "vital_signs").where("vital_id % 3 = 0").repartition(4, "vital_id"), target)
+    compact(spark, target)
+    return _stored_vitals(spark, target)
+
+
+@query(
+    "compact_streamed",
+    with_views(f"SELECT {_VITALS}, CAST(vital_id % 3 AS INT) AS batch FROM vital_signs", "vital_signs"),
+)
+def compact_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose days are split further, as a stream's sink writes them, keeps that split."""
+    target = f"{fresh_folder(spark, 'compact-streamed')}/vital_signs"
+    rows = silver(spark, sf_dir, "vital_signs").withColumns({INGEST_DAY: F.lit(DAY), "batch": F.col("vital_id") % 3})
+    for part in range(4):
+        rows.where(F.col("vital_id") % 4 == part).write.mode("append").partitionBy(INGEST_DAY, "batch").parquet(target)
+    compact(spark, target)
+    return spark.read.parquet(target).select(*_VITALS.split(", "), "batch")
+
+
 @query(
     "compact_report",
     with_views(
