@@ -16,6 +16,7 @@ from tristrata.operators import (
     pack_and_expand,
     smallest_value_per_key,
 )
+from tristrata.operators.calendar import LAST_DAY, calendar_of_facts, day_counts, day_key
 from tristrata.session import settings_for
 
 
@@ -133,3 +134,18 @@ def test_settings_grow_with_the_data():
 def test_latest_needs_no_python(spark, when):
     df = spark.range(5).withColumn("ingested_at", F.lit(when)).withColumn("k", F.col("id") % 2)
     assert "Python" not in plan(latest_per_key(df, ["k"]))
+
+
+def test_calendar_of_facts(spark):
+    days = ["2017-12-30", "2024-02-29", None, "1066-10-14", "99999-01-01", "2101-01-01"]
+    fact = spark.sql(" UNION ALL ".join(f"SELECT {'CAST(NULL AS DATE)' if d is None else f'make_date({int(d.split(chr(45))[0])}, {int(d.split(chr(45))[1])}, {int(d.split(chr(45))[2])})'} AS day" for d in days))
+    dated = {"f": (fact, "day")}
+    days_of = calendar_of_facts(spark, dated)
+    assert days_of.count() == (LAST_DAY - date(2017, 12, 30)).days + 1 + 2
+    assert days_of.count() == days_of.select("date_key").distinct().count()
+    assert days_of.columns == calendar(spark).columns
+    keys = [r.k for r in fact.select(day_key("day").alias("k")).collect()]
+    assert keys == [20171230, 20240229, -1, -2, -2, -2]
+    assert fact.select(day_key("day").alias("date_key")).join(days_of, "date_key").count() == len(days)
+    assert tuple(day_counts(dated).first()) == ("f", 2, 1, 3)
+    assert calendar_of_facts(spark, {"f": (fact.limit(0), "day")}).count() == calendar(spark).count() + 2

@@ -10,6 +10,7 @@ from tristrata.operators.quality import (
     ChecksFailed,
     accepted_values,
     freshness,
+    key_collisions,
     not_null,
     relationships,
     require_passed,
@@ -113,3 +114,11 @@ def test_declared_checks():
     kinds = [c.kind for c in GOLD_CHECKS]
     assert (kinds.count("not_null"), kinds.count("unique"), len(kinds)) == (24, 12, 36)
     assert len({c.table for c in GOLD_CHECKS}) == 14
+
+
+def test_key_collisions(spark):
+    rows = [(1, "a", None), (1, "a", None), (1, "a", ""), (2, "b", "c"), (2, "b", "c"), (3, "b|c", "d"), (3, "b", "c|d"), (None, "x", "y"), (None, "z", "y")]
+    df = spark.createDataFrame(rows * 3, "sk long, a string, b string")
+    found = {r.key: (r.natural_keys, r.n_records) for r in key_collisions(df, "sk", ["a", "b"]).collect()}
+    assert found == {1: (2, 9), 3: (2, 6)}
+    assert key_collisions(df.limit(0), "sk", ["a", "b"]).count() == 0

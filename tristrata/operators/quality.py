@@ -50,6 +50,25 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.where(F.col("n_records") > 1)
 
 
+def key_collisions(df: DataFrame, hashed: str, natural: Sequence[str], seed: int = 7) -> DataFrame:
+    """Hash keys that stand for different natural keys: (key, natural_keys, n_records).
+
+    A second, independent hash of the natural key is compared inside each key:
+    where its least and its greatest value differ, two natural keys share the
+    first hash. Both are numbers that are combined before the shuffle, so a key
+    of any number of rows costs a few numbers a task. ``natural_keys`` is the
+    exact number, counted for those keys alone. Two NULLs are the same value.
+    """
+    parts = F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(natural)])
+    # As text, with NULL told from any value and parts told apart by their lengths.
+    told = F.concat_ws("|", *[F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in natural])
+    second = F.xxhash64(F.lit(seed), F.reverse(told), told)
+    spread = df.groupBy(F.col(hashed).alias("key")).agg(F.min(second).alias("low"), F.max(second).alias("high"), F.count(F.lit(1)).alias("n_records"))
+    shared = spread.where(F.col("low") != F.col("high")).select("key", "n_records")
+    rows = df.select(F.col(hashed).alias("key"), parts.alias("parts")).join(shared.select("key"), "key", "left_semi")
+    return shared.join(rows.groupBy("key").agg(F.count_distinct("parts").alias("natural_keys")), "key").select("key", "natural_keys", "n_records")
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Values outside a list: (value, n_records). NULLs are ignored."""
     outside = df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))

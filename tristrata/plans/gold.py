@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tristrata.operators.calendar import calendar_of_facts, day_counts
 from tristrata.operators.quality import Check, require_passed, run_checks
 from tristrata.plans import dims, facts
 from tristrata.plans.checks import GOLD_CHECKS
@@ -41,6 +42,16 @@ BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
 
 
 REPORT_TABLE = "check_report"
+COUNTS_TABLE = "day_counts"
+
+# Facts and the date by which they meet the calendar.
+FACT_DAYS = {
+    "fact_appointments": "appointment_date",
+    "fact_billing": "fee_date",
+    "fact_lab_results": "test_date",
+    "fact_treatments": "treatment_date",
+    "fact_vitals": "measurement_date",
+}
 
 
 @dataclass(frozen=True)
@@ -61,6 +72,7 @@ class GoldConfig:
     layout: WriteLayout | None = None
     tables: Sequence[str] = tuple(BUILDERS)
     full_snapshots: bool = False
+    days_of_facts: bool = False
 
 
 def take_snapshots(
@@ -117,12 +129,17 @@ def run_gold(
     inputs = gold_inputs(spark, cfg, run_ts)
     builds, build = Builds(spark, cfg.gold), run_id(run_ts)
     out = builds.open(build)
-    built = build_tables(spark, inputs, out, cfg.tables, threads=cfg.threads, layout=cfg.layout)
+    later = ["dim_date"] if cfg.days_of_facts else []
+    built = build_tables(spark, inputs, out, [t for t in cfg.tables if t not in later], threads=cfg.threads, layout=cfg.layout)
+    if cfg.days_of_facts:
+        dated = {name: (built[name], day) for name, day in FACT_DAYS.items() if name in built}
+        built["dim_date"] = out.publish(calendar_of_facts(spark, dated), "dim_date", cfg.layout)
+        out.publish(day_counts(dated), COUNTS_TABLE)
     # Stored before it is judged, so that a failed run can be read up; the checks run once.
     own = [c for c in checks if c.table in built and (c.parent is None or c.parent[0] in built)]
     report = out.publish(run_checks(built, own), REPORT_TABLE)
     failures = report.where(~F.col("passed")).count()
     builds.record(build, failures)
     require_passed(report)
-    builds.switch(build, [*cfg.tables, REPORT_TABLE])
+    builds.switch(build, [*built, REPORT_TABLE, *([COUNTS_TABLE] if cfg.days_of_facts else [])])
     return out, report

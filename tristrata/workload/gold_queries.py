@@ -17,6 +17,7 @@ from tristrata.operators import (
     measure_by_dimension,
     star_join,
 )
+from tristrata.operators.quality import key_collisions
 from tristrata.plans import dims, facts
 from tristrata.plans.incremental import FACTS, FactStore, record_changes
 from tristrata.sources.history_store import read_history, record_snapshot
@@ -479,3 +480,22 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         store.update(spark.read.parquet(f"{folder}/log"))
         first = last
     return store.read()
+
+
+# Patients whose number ends in 00 get the key of the patient after them.
+_CLASH = "CASE WHEN patient_id % 100 = 0 THEN patient_id + 1 ELSE patient_id END"
+
+
+@query(
+    "key_collisions",
+    with_views(
+        f""", keyed AS (SELECT {_CLASH} AS key, patient_id, patient_name FROM patient)
+SELECT key, count(DISTINCT (patient_id, patient_name)) AS natural_keys, count(*) AS n_records
+FROM keyed GROUP BY key HAVING count(DISTINCT (patient_id, patient_name)) > 1""",
+        "patient",
+    ),
+)
+def key_collisions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted collisions are found: two patients that share a key."""
+    patient = silver(spark, sf_dir, "patient").withColumn("key", F.expr(_CLASH))
+    return key_collisions(patient, "key", ["patient_id", "patient_name"])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.operators import conform, pack_and_expand
+from tristrata.operators.calendar import day_key
 from tristrata.operators.quarantine import MALFORMED
 from tristrata.operators.quality import (
     ChecksFailed,
@@ -24,7 +25,7 @@ from tristrata.operators.upkeep import compact, compact_day, maintain
 from tristrata.plans import dims, facts
 from tristrata.plans.checks import GOLD_CHECKS, NOT_NULL, UNIQUE
 from tristrata.plans.contracts import SILVER
-from tristrata.plans.gold import BUILDERS, GoldConfig, run_gold
+from tristrata.plans.gold import BUILDERS, FACT_DAYS, GoldConfig, run_gold
 from tristrata.plans.silver import SilverConfig, quarantine_target, run_silver
 from tristrata.sources import (
     Builds,
@@ -424,6 +425,44 @@ def gold_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen("first build", first).unionAll(seen("shown", Tables(spark, db)))
 
 
+# Appointments with some dates of the year 9999.
+_FAR = "CASE WHEN appointment_id % 37 = 0 THEN '9999-12-31' ELSE appointment_date END"
+
+
+@query(
+    "gold_fact_by_date",
+    with_views(
+        f""", dated AS (
+  SELECT 'fact_appointments' AS fact, {duck.to_date(f"({_FAR})")} AS d FROM {duck.latest("appointment", "appointment_id", [])}
+  UNION ALL SELECT 'fact_billing', {duck.to_date("fee_date")}
+  FROM {duck.latest("hospital_fee", "fee_id", ["appointment_id", "patient_id", "fee_date", "amount", "service_type", "description"])})
+SELECT fact, CASE WHEN d IS NULL THEN -1 WHEN d NOT BETWEEN DATE '1900-01-01' AND DATE '2100-12-31' THEN -2 ELSE 1 END AS kind,
+  CAST(CASE WHEN d BETWEEN DATE '1900-01-01' AND DATE '2100-12-31' THEN year(d) END AS INT) AS year, count(*) AS "rows"
+FROM dated GROUP BY ALL""",
+        "appointment",
+        "hospital_fee",
+    ),
+)
+def gold_fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the stored facts meets one row of the stored calendar, whatever its date."""
+    folder = fresh_folder(spark, "fact-by-date")
+    stored = Tables(spark, f"{folder}/silver")
+    for name in SILVER:
+        rows = silver(spark, sf_dir, name)
+        if name == "appointment":
+            rows = rows.withColumn("appointment_date", F.expr(_FAR))
+        stored.publish(rows, name)
+    names = ("dim_date", "fact_appointments", "fact_billing")
+    cfg = GoldConfig(f"{folder}/silver", f"{folder}/gold", f"{folder}/snapshots", tables=names, days_of_facts=True)
+    gold, _ = run_gold(spark, cfg, session_time(spark, LOAD_TIMES[2]))
+    parts = []
+    for name in names[1:]:
+        per_day = gold.ref(name).groupBy(day_key(FACT_DAYS[name]).alias("date_key")).agg(F.count(F.lit(1)).alias("n"))
+        days = per_day.join(gold.ref("dim_date"), "date_key").withColumn("kind", F.when(F.col("date_key") < 0, F.col("date_key")).otherwise(1))
+        parts.append(days.groupBy(F.lit(name).alias("fact"), "kind", "year").agg(F.sum("n").alias("rows")))
+    return parts[0].unionAll(parts[1])
+
+
 # --- data quality -----------------------------------------------------------
 
 
