@@ -124,6 +124,23 @@ def test_chat_layouts_with_fields_of_others(spark):
     assert {r.conv_id: r.n_turns for r in chat.read_back(chats).collect()} == {0: 2, 1: 3, 2: 3, 3: 2, 4: 3}
 
 
+def test_chat_records_that_no_layout_can_read(spark):
+    good = {"messages": [{"role": "user", "content": "u"}]}
+    odd = [
+        json.dumps({"messages": [{"role": "user", "content": "u"}, "stray"]}), json.dumps({"messages": [{"role": "user", "content": "u"}, None]}),
+        '{"prompt": "\\ud800", "response": "r"}', '{"turn": 99999999999999999999, "role": "user", "text": "t"}',
+        '{"prompt": ' + "[" * 5000 + "]" * 5000 + ', "response": "r"}', '{"prompt": "p", "response": ' + '{"a": ' * 700 + "1" + "}" * 701, "[1]", "nul",
+    ]
+    rows = [(i, r) for i, r in enumerate(odd)] + [(100, json.dumps(good)), (101, '{"turn": true, "role": "user", "text": "t"}'), (None, None)]
+    chats = chat.format_chat(chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, record string")))
+    got = {r.conv_id: r for r in chats.collect()}
+    assert all(got[i].formatted is None and got[i].record == r for i, r in enumerate(odd) if i != 5)
+    assert (got[100].role, got[100].text, got[101].turn, got[101].text) == ("user", "u", None, "t")
+    assert {r.conv_id for r in chat.read_back(chats).collect()} - {5} == {100, 101}
+    empty = chat.canonical_turns(spark.createDataFrame([], "conv_id long, record string"))
+    assert empty.count() == 0 and chat.read_back(chat.format_chat(empty)).count() == 0
+
+
 def test_fingerprints_ignore_values_and_other_fields():
     layouts = chat.Layouts()
     a = layouts.of({"prompt": "x", "response": None, "score": 3})
@@ -218,6 +235,43 @@ def test_rounds_keep_proportions_and_lose_nothing():
         assert packing.sequence_at(4096 + 5, 4096 + 6) == (2, 1, 2)
 
 
+@pytest.mark.parametrize("targets", [None, {f"s{i}": 1.0 for i in range(0, 5000, 2)} | {"s1": 600.0}])
+def test_packing_of_many_sources(spark, targets, monkeypatch):
+    """Every source spreads over the whole stream at its share, however many there are."""
+    monkeypatch.setattr(packing, "ROUNDS", 5)
+    rows = [(i * 10 + k, "one two three four five six seven " * 4, f"s{i}") for i in range(5000) for k in range(2)]
+    rows += [(10**6 + k, "word " * 400, "hot") for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    window, quantum = 1 << 16, 8
+    pieces = packing.pack(df, targets=targets, window=window, quantum=quantum).select("source", "length", "sequence_id", "offset", "doc_id", "start", "doc_tokens").collect()
+    place = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        place.setdefault(p.sequence_id, []).append((p.offset, p.length, p.source))
+    stream = [(n, source) for k in sorted(place) for _, n, source in place[k]]
+    total = sum(n for n, _ in stream)
+    assert total == sum(2 * 29 for _ in range(5000)) + 500 * 401
+    assert all(offset == sum(n for _, n, _ in place[k][:j]) for k in list(place)[:20] for j, (offset, _, _) in enumerate(place[k]))
+    totals = {}
+    for n, source in stream:
+        totals[source] = totals.get(source, 0) + n
+    names = sorted(totals)
+    weights = totals if targets is None else {s: max(1, round(targets.get(s, 0) * 1e6 / sum(targets.values()))) for s in names}
+    rounds = packing.Rounds(totals, weights, window, quantum, sum(weights.values()))
+    had, ends = dict.fromkeys(names, 0), {}
+    for r in range(1, 5):
+        ends[r] = sum(rounds.served(s, r) for s in names)
+    seen, r = 0, 1
+    for n, source in stream:
+        had[source] += n
+        seen += n
+        if r in ends and seen == ends[r]:
+            for s in names:  # at the end of a window no source is off by a quantum or more
+                credit = r * window * weights[s] / rounds.weight
+                assert had[s] == totals[s] or 0 <= credit - had[s] < quantum
+            r += 1
+    assert r >= 4
+
+
 def test_packing_nothing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 

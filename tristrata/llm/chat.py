@@ -108,7 +108,7 @@ def turns_of(record, mapping: Mapping) -> list[tuple[int, str, str]]:
     """(order, role, text) of a record's turns; absent or null texts of a fixed turn leave it out, except for the answer."""
     if mapping.row:
         order = record.get(mapping.order) if mapping.order else None
-        return [(order if isinstance(order, int) else None, _text(record.get(mapping.role)), _text(record.get(mapping.text)))]
+        return [(order if isinstance(order, int) and not isinstance(order, bool) else None, _text(record.get(mapping.role)), _text(record.get(mapping.text)))]
     out = []
     for role, fields in mapping.turns:
         texts = [_text(record[f]) for f in fields if record.get(f) is not None]
@@ -122,6 +122,30 @@ def turns_of(record, mapping: Mapping) -> list[tuple[int, str, str]]:
     return out
 
 
+def readable_turns(raw: str | None, layouts: Layouts) -> tuple[str | None, Mapping | None, list[tuple[int | None, str, str]]]:
+    """Fingerprint, mapping and turns of a record; no mapping for one that can't be read.
+
+    That is text that is no JSON or too deeply nested, items that are no
+    objects, an order beyond 64 bits, and characters that are halves of a pair,
+    which no text can hold.
+    """
+    print_ = None
+    try:
+        record = json.loads(raw) if raw is not None else None
+        if not isinstance(record, dict):
+            return None, None, []
+        print_, mapping = layouts.of(record)
+        if mapping is None or mapping.items and not all(isinstance(item, dict) for item in record[mapping.items]):
+            return print_, None, []
+        turns = turns_of(record, mapping)
+        "".join(role + text for _, role, text in turns).encode()
+    except (ValueError, RecursionError):
+        return print_, None, []
+    if any(order is not None and not -(1 << 63) <= order < 1 << 63 for order, _, _ in turns):
+        return print_, None, []
+    return print_, mapping, turns
+
+
 def escape(text: str) -> str:
     """Without any control string: no mark of the template is left, and ``unescape`` gives the text back."""
     return text.replace("\\", "\\\\").replace("#", "\\#").replace("</", "<\\/")
@@ -158,7 +182,8 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
     ``records`` has conv_id and record, a JSON object as text; other columns are
     not read. A record that is null, no JSON object, or of no known layout is one
     row with a null layout, role and text, never dropped; ``record`` keeps it as
-    it came, and is null in rows of known layouts. A known layout without
+    it came, and is null in rows of known layouts. So is one that its layout
+    can't read (see ``readable_turns``). A known layout without
     turns (an empty list has another fingerprint) doesn't occur. Repeated records
     give repeated turns.
     """
@@ -169,12 +194,8 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
         for batch in batches:
             at, rows = [], []
             for i, raw in enumerate(batch.column("record").to_pylist()):
-                try:
-                    record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                print_, mapping = layouts.of(record) if isinstance(record, dict) else (None, None)
-                found = [(mapping.name, print_, *t, None) for t in turns_of(record, mapping)] if mapping else [(None, print_, None, None, None, raw)]
+                print_, mapping, turns = readable_turns(raw, layouts)
+                found = [(mapping.name, print_, *t, None) for t in turns] if mapping else [(None, print_, None, None, None, raw)]
                 at += [i] * len(found)
                 rows += found
             columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()))]
