@@ -15,6 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +70,12 @@ def _features(data: np.ndarray) -> np.ndarray:
     return (out / max(np.linalg.norm(out), 1e-12)).astype(np.float32)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Places and values of what is not zero."""
+    at = np.flatnonzero(x)
+    return at.astype("<u2").tobytes() + x[at].astype("<f4").tobytes()
+
+
 def _runs(data: np.ndarray) -> np.ndarray:
     """Counts by slot of the byte runs of a text, as (slots, counts); gaps count as one, runs of a gap alone do not occur."""
     slots, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -242,7 +249,7 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x.tobytes() if ok else None for ok, x in features(batch.column("text"))]
+            found = [_packed(x) if ok else None for ok, x in features(batch.column("text"))]
             runs = [_runs(t).astype("<i4").tobytes() for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.string()), pa.array(found, pa.binary()), pa.array(runs, pa.binary())], ["lang", "doc_id", "x", "runs"])
 
@@ -251,12 +258,17 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
 
 def learn(table: pa.Table) -> LanguageModel | None:
     """Train on a table with lang, doc_id, features and runs; None if it is empty."""
-    table = table.sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     if not table.num_rows:
         return None
-    y = np.array(table.column("lang").to_pylist(), object)
-    x = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in table.column("x")])
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    order = pc.sort_indices(table.select(["lang", "doc_id"]), [("lang", "ascending"), ("doc_id", "ascending")]).to_pylist()
+    y = np.array(table.column("lang").to_pylist(), object)[order]
+    x = np.zeros((len(y), DIMS + 1), np.float32)
+    x[:, -1] = 1
+    values = table.column("x")
+    for row, i in zip(x, order):
+        raw = values[i].as_buffer()
+        count = len(raw) // 6
+        row[np.frombuffer(raw, "<u2", count)] = np.frombuffer(raw, "<f4", count, 2 * count)
     groups: dict[str, list[str]] = {}
     for language in sorted(set(y)):
         groups.setdefault(family_of(language), []).append(language)
@@ -268,7 +280,8 @@ def learn(table: pa.Table) -> LanguageModel | None:
         for a, b in combinations(members, 2):
             rows = np.flatnonzero((y == a) | (y == b))
             pairs[a, b] = train_svm(x[rows], np.where(y[rows] == a, 1, -1).astype(np.float32))
-    runs = [np.frombuffer(v.as_buffer(), "<i4").reshape(2, -1) for v in table.column("runs")]
+    values = table.column("runs")
+    runs = [np.frombuffer(values[i].as_buffer(), "<i4").reshape(2, -1) for i in order]
     return LanguageModel(families, family_weights, pairs, *_familiarity(runs, y))
 
 

@@ -27,7 +27,7 @@ WORD_END = "</w>"
 ODD = regex.compile("<\\||[\x1c-\x1f\u0250-\U0010ffff]")
 
 LONGEST = 64
-CACHE_WORDS = 1 << 21
+CACHE_WORDS = 1 << 19
 RECENT_WORDS = 1 << 16
 NO_RANK = 1 << 30
 
