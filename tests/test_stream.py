@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import os
 from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from tristrata.plans.contracts import SILVER
-from tristrata.streaming import raw_stream, silver_stream, stream_to_silver
+from tristrata.operators import latest_per_key
+from tristrata.streaming import keep_state_on_disk, newest_stream, raw_stream, silver_stream, stream_to_silver
 
 SCHEMA = "disease_id string, patient_id string, disease_name string, diagnosis_date string"
 
@@ -50,3 +52,32 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         if path.exists():
             path.unlink()
     assert run(spark, tmp_path).count() == 20
+
+
+def test_the_newest_row_of_a_key_comes_out_after_the_horizon(spark, tmp_path):
+    keep_state_on_disk(spark)
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    raw, hour = tmp_path / "raw", 3600
+    deliveries = [
+        (0, [("1", "7", "flu", "a"), ("2", "7", "cold", "a"), (None, "8", "x", "a"), ("1", "7", "flu", "b")]),
+        (2, [("1", "7", "gout", "a")] * 50 + [("2", "7", None, "a")]),
+        (5, [("3", "9", "old", "z")]),
+        (100, [("1", "7", "late", "a")]),  # a repeat after the horizon
+        (300, [("99", "99", "end", "z")]),
+    ]
+    emitted = []
+    for hours, rows in deliveries:
+        known = set(raw.glob("*.parquet")) if raw.exists() else set()
+        put(spark, str(raw), rows)
+        for file in set(raw.glob("*.parquet")) - known:
+            os.utime(file, (1_704_067_200 + hours * hour,) * 2)
+        stream = raw_stream(spark, str(raw), SCHEMA, files_per_batch=1)
+        newest = newest_stream(stream, SILVER["diseases"], ["disease_id", "patient_id"], "10 hours")
+        stream_to_silver(newest, str(tmp_path / "silver"), str(tmp_path / "checkpoint"))
+        found = spark.read.parquet(str(tmp_path / "silver")) if list((tmp_path / "silver").glob("*")) else None
+        emitted.append(0 if found is None else found.count())
+    assert emitted == [0, 0, 0, 4, 5]  # sessions close with the delivery after the horizon
+    stored = {(r.disease_id, r.disease_name, r.diagnosis_date) for r in found.collect()}
+    assert stored == {(1, "gout", "a"), (1, "late", "a"), (2, None, "a"), (3, "old", "z"), (None, "x", "a")}
+    last = latest_per_key(found, ["disease_id", "patient_id"], ["ingested_at"])
+    assert {(r.disease_id, r.disease_name) for r in last.collect()} == {(1, "late"), (2, None), (3, "old"), (None, "x")}

@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from tristrata.streaming.silver_stream import raw_stream, silver_stream, stream_to_silver
+from tristrata.streaming.silver_stream import keep_state_on_disk, newest_stream, raw_stream, silver_stream, stream_to_silver
 
-__all__ = ["raw_stream", "silver_stream", "stream_to_silver"]
+__all__ = ["keep_state_on_disk", "newest_stream", "raw_stream", "silver_stream", "stream_to_silver"]

@@ -64,6 +64,50 @@ def silver_stream(
     return rows.drop(PART).dropDuplicatesWithinWatermark(list(keys))
 
 
+# Settings of the state that newest rows wait in: files on local disk with changes kept in the
+# checkpoint, not the heap of the executors, and sessions merged before rows are shuffled.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Apply ``STATE`` where the session has nothing of its own; call it before the first run of a stream."""
+    for name, value in STATE.items():
+        own = spark.conf.get(name, None)
+        if own is None or own in ("false", "") or own.endswith("HDFSBackedStateStoreProvider"):
+            spark.conf.set(name, value)
+
+
+def newest_stream(
+    raw: DataFrame,
+    contract: Contract,
+    keys: Sequence[str],
+    horizon: str = "1 day",
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """Conformed rows, of each key the newest once ``horizon`` has passed without another.
+
+    Rows of a key that arrive within ``horizon`` of each other are one session;
+    when it closes, its newest row comes out: the last by ``order_by``, then by
+    arrival, then by the greatest values from left to right, as
+    ``latest_per_key`` decides. A key that comes again later opens another
+    session, so a table of these rows has a key once a session, and
+    ``latest_per_key`` over its load time gives what it gives over all rows.
+
+    The state holds one row per open session. Repeats in one part of the input
+    are merged before the shuffle, so a key that is delivered over and over
+    sends a row a task. Keep the state on disk by ``keep_state_on_disk``.
+    """
+    rows = conform(raw, contract, F.col(ARRIVED_AT), carry=[ARRIVED_AT]).withWatermark(ARRIVED_AT, horizon)
+    rest = [c for c in rows.columns if c not in (*keys, *order_by, ARRIVED_AT)]
+    place = F.struct(*order_by, ARRIVED_AT, *rest)
+    sessions = rows.groupBy(*keys, F.session_window(ARRIVED_AT, horizon).alias("session")).agg(F.max(place).alias("newest"))
+    return sessions.select(*[F.col(c) if c in keys else F.col(f"newest.{c}").alias(c) for c in rows.columns])
+
+
 def stream_to_silver(rows: DataFrame, target: str, checkpoint: str) -> None:
     """Process everything available and stop.
 

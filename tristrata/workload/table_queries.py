@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.operators import conform, pack_and_expand
+from tristrata.operators import conform, latest_per_key, pack_and_expand
 from tristrata.operators.calendar import day_key
 from tristrata.operators.quarantine import MALFORMED
 from tristrata.operators.quality import (
@@ -46,7 +46,7 @@ from tristrata.sources import (
 from tristrata.sources.history_store import run_id
 from tristrata.sources.landing import NULL_TOKENS
 from tristrata.sources.sinks import INGEST_DAY
-from tristrata.streaming import raw_stream, silver_stream, stream_to_silver
+from tristrata.streaming import keep_state_on_disk, newest_stream, raw_stream, silver_stream, stream_to_silver
 from tristrata.workload import duck, gold_sql
 from tristrata.workload.gold_queries import doctor_history, patient_history, session_time
 from tristrata.workload.registry import ORACLES, query
@@ -710,3 +710,48 @@ def stream_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("vital_id", "patient_id", "measurement_date", "temperature")
 
 
+def _vital_rows(vitals: DataFrame, added: int) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return vitals.select(
+        F.col("vital_id").cast("string").alias("vital_id"),
+        F.col("patient_id").cast("string").alias("patient_id"),
+        "measurement_date",
+        (F.col("temperature") + added).cast("string").alias("temperature"),
+        *[none.alias(c) for c in ("blood_pressure", "heart_rate", "respiratory_rate", "oxygen_saturation", "blood_sugar")],
+    )
+
+
+def _arrive(spark: SparkSession, rows: DataFrame, folder: str, name: str, hours: int) -> None:
+    """Files that arrived so many hours after the first ones."""
+    rows.write.parquet(f"{folder}/{name}")
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(make(f"{folder}/{name}")):
+        fs.setTimes(status.getPath(), 1_704_067_200_000 + hours * 3_600_000, -1)
+
+
+@query(
+    "stream_newest",
+    with_views(
+        """SELECT vital_id, patient_id, CAST(CAST(CAST(temperature + CASE WHEN vital_id % 5 = 0 THEN 2 WHEN vital_id % 3 = 0 THEN 1 ELSE 0 END
+  AS VARCHAR) AS FLOAT) AS DOUBLE) AS temperature FROM vital_signs""",
+        "vital_signs",
+    ),
+)
+def stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries taken one by one, the second within the horizon of the first and the third long after it."""
+    folder = fresh_folder(spark, "stream-newest")
+    vitals = silver(spark, sf_dir, "vital_signs")
+    keep_state_on_disk(spark)
+    _arrive(spark, _vital_rows(vitals, 0), f"{folder}/raw", "part=1", 0)
+    _arrive(spark, _vital_rows(vitals.where("vital_id % 3 = 0"), 1), f"{folder}/raw", "part=2", 2)
+    _arrive(spark, _vital_rows(vitals.where("vital_id % 5 = 0"), 2), f"{folder}/raw", "part=3", 90)
+    # What arrives last closes the sessions before it; its own stays open.
+    last = spark.range(1).select(F.lit(-1).alias("vital_id"), F.lit(-1).alias("patient_id"), F.lit(None).cast("string").alias("measurement_date"), F.lit(0.0).alias("temperature"))
+    _arrive(spark, _vital_rows(last, 0), f"{folder}/raw", "part=4", 500)
+    schema = spark.read.parquet(f"{folder}/raw").drop("part").schema
+    rows = raw_stream(spark, f"{folder}/raw", schema, files_per_batch=2, recursiveFileLookup=True)
+    stream_to_silver(newest_stream(rows, SILVER["vital_signs"], ["vital_id"], "1 day"), f"{folder}/vital_signs", f"{folder}/checkpoint")
+    stored = spark.read.parquet(f"{folder}/vital_signs")
+    newest = latest_per_key(stored.where("vital_id >= 0"), ["vital_id"], ["ingested_at"])
+    return newest.select("vital_id", "patient_id", F.col("temperature").cast("double").alias("temperature"))
