@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from .components import components
 from .packing import id_rows
@@ -383,10 +384,14 @@ def _count_links(members: DataFrame, links: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; its columns unchanged.
 
-    Documents without words stay. Of rows with the same doc_id one stays; a null
-    doc_id can't be told apart from another and all such rows stay.
+    Documents without words stay. Of rows with the same doc_id the one with the
+    smallest text, then the smallest other values stays; a null doc_id can't be
+    told apart from another and all such rows stay.
     """
     joined = jaccard_join(docs, n, percent, groups_only=True).members
     keep = joined.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    known = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # By value, so that a task that runs again chooses the same row.
+    values = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *values))
+    known = docs.join(keep, "doc_id", "left_semi").withColumn("_kept_rank", first).where(F.col("_kept_rank") == 1).drop("_kept_rank")
     return known.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)

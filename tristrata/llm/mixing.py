@@ -93,7 +93,8 @@ def mix_sources(docs: DataFrame, entropy: float = 0.98, repeats: float = 2.0, se
 
     ``docs`` has doc_id, source and text. ``Mix.rows`` holds the columns
     ``keep`` (doc_id and source by default) and tokens, epoch (from 0), block and
-    place, the position of the block in its source's order. The budget is the
+    place, the position of the block in its source's order; a kept column of one
+    of these names stays in its stead. The budget is the
     smallest at which the largest weight per token is met by using each of its
     source's documents once: every document is used, and those of smaller sources
     up to ``repeats`` times, rounded to a block. Null is a source like any other;
@@ -106,7 +107,9 @@ def mix_sources(docs: DataFrame, entropy: float = 0.98, repeats: float = 2.0, se
         raise ValueError("blocks must be a power of two")
     salt = str(seed)
     block = (_draw(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % blocks).cast("int")
-    every = docs.select(*{c: None for c in [*keep, "source"]}, words(F.col("text")).alias("tokens"), block.alias("block"))
+    # Kept columns go by names of their own, so that none is taken for one of the plan's.
+    kept = {c: f"_kept_{i}" for i, c in enumerate(keep)}
+    every = docs.select(*[docs[c].alias(k) for c, k in kept.items()], "source", words(F.col("text")).alias("tokens"), block.alias("block"))
     # Counts by source and block: combined on the map side, and all that the plan needs.
     counts = docs.select("source", words(F.col("text")).alias("tokens"), block.alias("block"))
     counts = written(counts.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")), "block-tokens")
@@ -143,5 +146,6 @@ def mix_sources(docs: DataFrame, entropy: float = 0.98, repeats: float = 2.0, se
     used = every.join(short, F.col("source").eqNullSafe(F.col("of")))
     last = F.when(place(F.col("source"), F.col("whole"), F.col("block")) < F.col("stop"), F.col("whole")).otherwise(F.col("whole") - 1)
     used = used.withColumn("epoch", F.explode(F.sequence(F.lit(0), last)))
-    rows = used.select(*keep, "tokens", "epoch", "block", place(F.col("source"), F.col("epoch"), F.col("block")).alias("place"))
+    own = {"tokens": F.col("tokens"), "epoch": F.col("epoch"), "block": F.col("block"), "place": place(F.col("source"), F.col("epoch"), F.col("block"))}
+    rows = used.select(*[F.col(k).alias(c) for c, k in kept.items()], *[c.alias(n) for n, c in own.items() if n not in kept])
     return Mix(exponent, plan, rows)
