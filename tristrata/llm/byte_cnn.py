@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_bytes, bounded_sample, learned, ship
+from .tables import bounded_bytes, bounded_sample, frugal, learned, ship
 from .text import buffers
 
 CHUNK = 512
@@ -223,4 +223,4 @@ def where_good(docs: DataFrame, model: ByteNetwork, threshold: float) -> DataFra
         for batch in batches:
             yield batch.filter(pa.array(shared.value.score(batch.column("text").cast(pa.string())) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

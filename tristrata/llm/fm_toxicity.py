@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_sample, ship
+from .tables import bounded_sample, frugal, ship
 from .text import NOT_LETTER, word_slices
 
 #: Slots that terms are hashed to.
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPL
             data = [slot[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("doc_id").cast(pa.string()), pa.array(data, pa.binary())], ["y", "doc_id", "slots"])
 
-    table = few.mapInArrow(terms, "y int, doc_id string, slots binary").orderBy("doc_id", "y").toArrow()
+    table = few.mapInArrow(frugal(terms), "y int, doc_id string, slots binary").orderBy("doc_id", "y").toArrow()
     rows = [np.frombuffer(v.as_buffer(), "<i4").astype(np.int64) for v in table.column("slots")]
     return train(rows, np.array(table.column("y").to_pylist(), np.int64))
 
@@ -156,4 +156,4 @@ def score(docs: DataFrame, model, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(judge, f"doc_id {dict(rows.dtypes)['doc_id']}, score double, predicted int")
+    return rows.mapInArrow(frugal(judge), f"doc_id {dict(rows.dtypes)['doc_id']}, score double, predicted int")

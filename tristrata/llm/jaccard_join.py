@@ -24,7 +24,7 @@ from pyspark.sql.types import AtomicType
 
 from .components import components
 from .packing import id_rows
-from .tables import ship, written
+from .tables import frugal, ship, written
 from .text import ASCII_LOWER, mix, words_by_row
 
 #: Counters of the table that tells rare n-grams from frequent ones. Its size is
@@ -167,7 +167,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
 
     # As many tasks as run at a time, twice: each writes its own counters, whose size does not depend on its share.
     few = texts.coalesce(2 * spark.sparkContext.defaultParallelism)
-    signed = written(few.mapInArrow(sign, f"doc_id {kind}, sig bigint, n int, bits array<bigint>, part int, counts binary"), "signatures")
+    signed = written(few.mapInArrow(frugal(sign), f"doc_id {kind}, sig bigint, n int, bits array<bigint>, part int, counts binary"), "signatures")
     members_of = signed.where("part IS NULL").select("doc_id", "sig", "n", "bits")
     members = members_of.select("doc_id", "sig", "n")
 
@@ -208,7 +208,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
                     part = [c[at : at + (1 << 18)] for c in columns]
                     yield pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), *map(pa.array, part[1:])], ["gram", "place", "n", "sig"])
 
-    found = texts.select("text").mapInArrow(prefixes, "gram bigint, place int, n int, sig bigint").repartition("gram")
+    found = texts.select("text").mapInArrow(frugal(prefixes), "gram bigint, place int, n int, sig bigint").repartition("gram")
     # Rows of one n-gram are together now: copies from other tasks go, then n-grams that only one class has.
     found = found.groupBy("gram", "sig").agg(F.min("n").alias("n"), F.min("place").alias("place"))
     by_gram = Window.partitionBy("gram")
@@ -250,7 +250,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
         near = written(near.select("a", "b", "a_doc", "b_doc"), "near-pairs")
         # Only the documents of these pairs are read again. Spark broadcasts their ids while the files are small.
         wanted = written(near.select(F.col("a_doc").alias("doc_id")).union(near.select("b_doc")).distinct().sort("doc_id"), "near-documents")
-        found_sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(set_rows, "sig bigint, grams binary")
+        found_sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(frugal(set_rows), "sig bigint, grams binary")
         found_sets = written(found_sets, "near-sets")
         # Both sides are the same shuffled sets, which Spark sends once.
         left, right = (found_sets.select(F.col("sig").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
@@ -269,7 +269,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-        return near.select("a", "b").join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint").distinct()
+        return near.select("a", "b").join(left, "a").join(right, "b").mapInArrow(frugal(verify), "a bigint, b bigint").distinct()
 
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]

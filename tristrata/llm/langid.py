@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_sample, learned, ship
+from .tables import bounded_sample, frugal, learned, ship
 from .text import NOT_LETTER, buffers
 
 DIMS = 4096
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, learn_from, sample_rows: int = SAMPLE_ROWS) -> Language
             runs = [_runs(t).astype("<i4").tobytes() for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id").cast(pa.string()), pa.array(found, pa.binary()), pa.array(runs, pa.binary())], ["lang", "doc_id", "x", "runs"])
 
-    return learned(few.mapInArrow(vectors, "lang string, doc_id string, x binary, runs binary").where("x IS NOT NULL"), learn)
+    return learned(few.mapInArrow(frugal(vectors), "lang string, doc_id string, x binary, runs binary").where("x IS NOT NULL"), learn)
 
 
 def learn(table: pa.Table) -> LanguageModel | None:
@@ -326,7 +326,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(judge, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    return rows.mapInArrow(frugal(judge), f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
 def where_known(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
@@ -344,4 +344,4 @@ def where_known(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             found = (shared.value is not None and _has_letter(t) and shared.value.knows(t) for t in texts_of(batch.column("text").cast(pa.string())))
             yield batch.filter(pa.array(found, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

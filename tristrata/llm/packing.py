@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import ship, written
+from .tables import frugal, ship, written
 from .word_bpe import tokenizer_path, word_bpe
 
 SEQUENCE = 4096
@@ -78,14 +78,14 @@ def token_store(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 before.append(passed.get(sources[k], 0))
                 passed[sources[k]] = before[-1] + len(found)
                 size += len(found)
-                if size > 1 << 24:
+                if size > 1 << 20:
                     yield out(k + 1)
                     ids, before, at, size = [], [], k + 1, 0
             yield out(len(sources))
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
     schema = f"task int, source string, doc_id {dict(rows.dtypes)['doc_id']}, before bigint, n bigint, ids binary"
-    return written(rows.mapInArrow(tokenize, schema), "tokens")
+    return written(rows.mapInArrow(frugal(tokenize), schema), "tokens")
 
 
 @dataclass
@@ -217,10 +217,10 @@ def pack(
     known = starts.select("base", "total", "weight", F.col("source").alias("of"), F.col("task").alias("by"))
     placed = store.join(known, (store["task"] == known["by"]) & store["source"].eqNullSafe(known["of"]))
     placed = placed.select("doc_id", "source", "total", "weight", (F.col("base") + F.col("before")).alias("place"), "ids")
-    served = placed.mapInArrow(cut, f"doc_id {kind}, source string, round bigint, inside bigint, start bigint, doc_tokens bigint, ids binary")
+    served = placed.mapInArrow(frugal(cut), f"doc_id {kind}, source string, round bigint, inside bigint, start bigint, doc_tokens bigint, ids binary")
     met = served.join(begins, (served["round"] == begins["in_round"]) & served["source"].eqNullSafe(begins["of"]))
     return met.select("doc_id", "source", (F.col("begin") + F.col("inside")).alias("where"), "start", "doc_tokens", "ids").mapInArrow(
-        lay,
+        frugal(lay),
         f"doc_id {kind}, source string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",
     )
 
@@ -261,7 +261,7 @@ def _begins(starts: DataFrame, window: int, quantum: int, weight: int) -> DataFr
                         rows = []
             yield _columns(rows, names)
 
-    parts = starts.select("source", "base", "n", "total", "weight").mapInArrow(enumerate_, "of string, in_round bigint, part bigint")
+    parts = starts.select("source", "base", "n", "total", "weight").mapInArrow(frugal(enumerate_), "of string, in_round bigint, part bigint")
     # Tasks that share a round of a source give the same number.
     parts = parts.groupBy("of", "in_round").agg(F.max("part").alias("part")).withColumn("block", F.floor(F.col("in_round") / ROUNDS))
     parts = written(parts, "round-parts")

@@ -71,6 +71,18 @@ def learned(rows: DataFrame, learn: Callable[[pa.Table], object]) -> object:
     return pickle.loads(found[0].learned) if found else learn(rows.limit(0).toArrow())
 
 
+def frugal(per_batch: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``per_batch``, and what it has freed goes back to the system when a task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from per_batch(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def _give_back() -> None:
     """Return freed memory to the system: this worker goes on to serve other tasks."""
     gc.collect()

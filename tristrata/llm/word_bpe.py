@@ -49,7 +49,7 @@ class Merges:
     """Rank and result of a pair of ids, in an open hash table."""
 
     def __init__(self, pairs: np.ndarray, merged: np.ndarray):
-        self.bits = 20
+        self.bits = max(4, (2 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.rank = np.full(1 << self.bits, NO_RANK, np.int64)
         self.merged = np.zeros(1 << self.bits, np.int64)
