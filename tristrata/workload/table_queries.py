@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tristrata.operators import conform, latest_per_key, pack_and_expand
 from tristrata.operators.calendar import day_key
+from tristrata.operators.check_state import CheckState
 from tristrata.operators.quarantine import MALFORMED
 from tristrata.operators.quality import (
     ChecksFailed,
@@ -32,6 +33,7 @@ from tristrata.sources import (
     Tables,
     WriteLayout,
     append_silver,
+    cut_lineage,
     ensure_db,
     ensure_table,
     fresh_folder,
@@ -574,6 +576,35 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_checks(built, GOLD_CHECKS)
 
 
+_PATIENT_FILLED = ("patient_email", "patient_name")
+
+
+def _state_sql() -> str:
+    parts = []
+    for i, text in enumerate(LOAD_TIMES):
+        known = f"(SELECT * FROM patient WHERE ingested_at <= TIMESTAMP '{text}')"
+        nulls = [f"SELECT {i} AS load, 'not_null' AS \"check\", '{c}' AS what, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {known}" for c in _PATIENT_FILLED]
+        parts += [*nulls, f"SELECT {i}, 'unique', CAST(patient_id AS VARCHAR), count(*) FROM {known} GROUP BY patient_id HAVING count(*) > 1"]
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_incremental", with_views(_state_sql(), "patient"))
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a growing log after each load, from a state that reads the new day only."""
+    folder = fresh_folder(spark, "dq-incremental")
+    patient = silver(spark, sf_dir, "patient")
+    state = CheckState(spark, f"{folder}/state", "patient_id", "int", _PATIENT_FILLED)
+    parts = []
+    for i, text in enumerate(LOAD_TIMES):
+        append_silver(patient.where(F.col("ingested_at") == F.lit(session_time(spark, text))), f"{folder}/patient")
+        state.refresh(spark.read.parquet(f"{folder}/patient"))
+        nulls = state.not_null().select(F.lit("not_null").alias("check"), F.col("column").alias("what"), "failures")
+        repeats = state.unique().select(F.lit("unique"), F.col("patient_id").cast("string"), "n_records")
+        # The state grows with the next load: its answer is stored now.
+        parts.append(cut_lineage(nulls.unionAll(repeats)).select(F.lit(i).alias("load"), "check", "what", "failures"))
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 # Without removing repeated loads the declared checks find what is wrong.
 @query("dq_report_parity", _report_sql(dedupe=False, parity=True))
 def dq_report_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
