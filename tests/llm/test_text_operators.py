@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tristrata.llm import chat, mixing, packing, separators, text
+from tristrata.llm import chat, mixing, packing, separators, text, word_bpe
 from tristrata.llm.text import word_slices
 from tristrata.llm.word_bpe import WordBpe, tokenizer_path
 
@@ -53,6 +53,18 @@ def test_word_tokenizer_tells_odd_and_random_words_apart():
             assert seen.setdefault(h, raw) == raw and seen.setdefault((c,), raw) == raw
 
 
+def test_word_tokenizer_forgets_words_that_came_once(monkeypatch):
+    monkeypatch.setattr(word_bpe, "CACHE_WORDS", 40)
+    monkeypatch.setattr(word_bpe, "RECENT_WORDS", 10)
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghij"))
+    texts = [" ".join(["the", "same", "words"] + ["".join(rng.choice(letters, 6)) for _ in range(15)]) for _ in range(60)]
+    bpe = WordBpe(tokenizer_path())
+    for k in range(0, 60, 2):  # a slice each
+        assert [g.tolist() for g in bpe.by_row(pa.array(texts[k : k + 2]))] == [plain_ids(t) for t in texts[k : k + 2]]
+        assert len(bpe.old.keys) < 100
+
+
 def test_word_tokenizer_survives_equal_hashes(monkeypatch):
     real = text.word_hashes
 

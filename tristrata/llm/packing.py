@@ -218,6 +218,8 @@ def pack(
     placed = store.join(known, (store["task"] == known["by"]) & store["source"].eqNullSafe(known["of"]))
     placed = placed.select("doc_id", "source", "total", "weight", (F.col("base") + F.col("before")).alias("place"), "ids")
     served = placed.mapInArrow(frugal(cut), f"doc_id {kind}, source string, round bigint, inside bigint, start bigint, doc_tokens bigint, ids binary")
+    # Where rounds begin grows with the tokens: it is met by a shuffle at any size, never sent to all.
+    begins = begins.hint("merge")
     met = served.join(begins, (served["round"] == begins["in_round"]) & served["source"].eqNullSafe(begins["of"]))
     return met.select("doc_id", "source", (F.col("begin") + F.col("inside")).alias("where"), "start", "doc_tokens", "ids").mapInArrow(
         frugal(lay),

@@ -83,6 +83,7 @@ class _Part:
         self.first = np.zeros(0, np.int64) if first is None else first
         self.count = np.zeros(0, np.int64) if count is None else count
         self.pool = np.zeros(0, np.uint16) if pool is None else pool
+        self.used = np.zeros(len(self.keys), bool)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
@@ -97,8 +98,15 @@ class _Part:
         self.first = np.concatenate([self.first, more.first + len(self.pool)])[order]
         self.count = np.concatenate([self.count, more.count])[order]
         self.pool = np.concatenate([self.pool, more.pool])
+        self.used = np.concatenate([self.used, np.zeros(len(more.keys), bool)])[order]
         self.keys = keys[order]
 
+    def met_again(self) -> _Part:
+        """The words that were looked up since they came here."""
+        at = np.flatnonzero(self.used)
+        count = self.count[at]
+        return _Part(self.keys[at], self.checks[at], np.cumsum(count) - count, count, self.pool[ragged(self.first[at], count)])
+
 
 class WordBpe:
     """Ids of words; ``special`` says whether a special token's text in a document is that token (the tokenizer's default)."""
@@ -151,7 +159,10 @@ class WordBpe:
         if not len(words.hash):
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         if len(self.old.keys) > CACHE_WORDS:
-            self.clear()
+            # Most words of a large corpus occur once: what came again stays, if that makes room.
+            self.old = self.old.met_again()
+            if len(self.old.keys) > CACHE_WORDS // 2:
+                self.clear()
         distinct, example, back = np.unique(words.hash, return_index=True, return_inverse=True)
         check = words.check[example]
         old, is_old = self.old.find(distinct)
@@ -162,6 +173,7 @@ class WordBpe:
             or (self.recent.checks[recent[is_recent]] != check[is_recent]).any()
         ):
             return self._one_by_one(words)
+        self.old.used[old[is_old]] = True
         new = ~is_old & ~is_recent
         if new.any():
             data = words.data.tobytes()
