@@ -49,6 +49,18 @@ def test_unlearned_language_goes(spark, left_out):
     assert kept["learned"] > 0.99 * every["learned"] and kept["short"] > 0.95 * every["short"] > 0
 
 
+def test_only_the_language_identified_counts(spark):
+    """Both texts are familiar in ``xx`` alone; the second is identified as ``yy`` by its family."""
+    xx, yy = "some plain words", "zzzz qqqq zzzz qqqq"
+    vectors = np.stack([np.append(langid._features(np.frombuffer(t.encode(), np.uint8)), 1.0) for t in (xx, yy)]).astype(np.float32)
+    familiar = np.zeros((1 << langid.RUN_BITS, 2), bool)
+    familiar[:, 0] = True
+    model = langid.LanguageModel([["xx"], ["yy"]], 9 * vectors.T, {}, familiar, 0.5)
+    docs = spark.createDataFrame([(1, xx), (2, yy), (3, None)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()} == {1: "xx", 2: "yy", 3: "und"}
+    assert [r.doc_id for r in langid.where_known(docs, model).collect()] == [1]
+
+
 def test_runs_do_not_depend_on_slices(monkeypatch):
     text = np.frombuffer("Some  words, été and 12 more.".encode() * 40, np.uint8)
     whole = langid._runs(text)

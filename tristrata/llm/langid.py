@@ -3,7 +3,7 @@
 A softmax model over hashed byte n-grams picks the family of languages; inside
 the family one-versus-one linear support vector machines, which only ever saw
 closely related languages, vote for the language. Both only choose among the languages
-learned, so whether a text is in one of them at all is told by its familiar
+learned, so whether a text is in the one they name at all is told by its familiar
 share: how many of its byte runs occur in the learned texts of that language.
 """
 
@@ -40,6 +40,8 @@ RUN_BITS = 20
 #: in another language do not make that one familiar.
 RUN_TEXTS = 3
 RUN_SHARE = 0.01
+#: A score from which a language counts as decided.
+SURE = 0.5
 _PART = 1 << 20
 
 # Letters in one case, all else as one gap. Bytes of longer code points are
@@ -205,10 +207,22 @@ class LanguageModel:
     familiar: np.ndarray  # slots x languages
     least: float
 
-    def knows(self, text: np.ndarray) -> bool:
-        """Whether the bytes of a text are familiar enough in some learned language."""
+    def knows(self, text: np.ndarray, found: tuple[str, float] | None = None) -> bool:
+        """Whether the bytes of a text are familiar enough in its language.
+
+        ``found`` is what ``predict`` gives for it, looked up by default. Where the
+        score is below ``SURE``, no language is likelier than all others together,
+        and each of them may vouch for the text.
+        """
+        if found is None:
+            languages, scores = self.predict(_features(text)[None])
+            found = languages[0], scores[0]
         slots, counts = _runs(text)
-        return not len(slots) or (counts @ self.familiar[slots]).max() / counts.sum() >= self.least
+        if not len(slots):
+            return True
+        shares = counts @ self.familiar[slots] / counts.sum()
+        column = sorted(v for members in self.families for v in members).index(found[0])
+        return (shares[column] if found[1] >= SURE else shares.max()) >= self.least
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each row of features: the family's probability times the mean confidence of the winner's duels."""
@@ -332,16 +346,19 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 def where_known(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """The rows of ``docs`` in a language that was learned, columns unchanged, in one pass without a shuffle.
 
-    A row stays if its whole text has the familiar share that the model asks for
-    in one of its languages. Null texts, texts without a letter and all rows of
-    a missing model go.
+    The language of a whole text is identified as in ``identify``: family, then
+    duels. A row stays if its text has the familiar share that the model asks for
+    in that language (in any, where the score leaves it open). Null texts, texts without a letter and all rows of a
+    missing model go.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = (shared.value is not None and _has_letter(t) and shared.value.knows(t) for t in texts_of(batch.column("text").cast(pa.string())))
+            texts = batch.column("text").cast(pa.string())
+            named = zip(*predict(shared.value, texts))
+            found = (shared.value is not None and _has_letter(t) and bool(shared.value.knows(t, v)) for t, v in zip(texts_of(texts), named))
             yield batch.filter(pa.array(found, pa.bool_()))
 
     return docs.mapInArrow(frugal(keep), docs.schema)
