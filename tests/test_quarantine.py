@@ -8,7 +8,7 @@ import pytest
 from tristrata.plans.contracts import SILVER
 from tristrata.plans.silver import SilverConfig, quarantine_target, run_silver
 from tristrata.sources import land_all, read_bronze
-from tristrata.sources.landing import SOURCE_FILE, discover, header_groups
+from tristrata.sources.landing import SOURCE_FILE, _first_lines, discover, header_groups
 
 DAY = date(2024, 1, 5)
 RUN = datetime(2024, 1, 5, 6, tzinfo=timezone.utc)
@@ -102,3 +102,12 @@ def test_headers_are_found_in_one_query(spark, tmp_path):
     (report,) = land_all(spark, str(raw), str(tmp_path / "bronze"), DAY, ENTITIES).collect()
     assert (report.status, report.rows) == ("ok", 2001)  # an empty file is no file to Spark
     assert read_bronze(spark, str(tmp_path / "bronze"), "doctors").where("email = 'm@x'").count() == 2000
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    for name, header in (("a", "x,y"), ("b", "\ufeffx,y"), ("c", "y,x")):
+        (tmp_path / f"{name}.csv").write_text(header + "\n" + "1,2\n" * 5000)
+    paths = [str(tmp_path / f"{name}.csv") for name in "abc"]
+    plan = _first_lines(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert header_groups(spark, paths) == ([paths[:2], paths[2:]], [])

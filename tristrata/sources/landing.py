@@ -143,20 +143,27 @@ def header_groups(spark: SparkSession, paths: Sequence[str]) -> tuple[list[list[
     """CSV files with the same first line, and those that have none or can't be opened.
 
     One distributed query whatever the number of files: each task keeps the
-    first line of the files it begins, and one row per file is shuffled. Only
-    the groups come back.
+    hash of the first line of the files it begins, and one row per file is
+    shuffled. Only the groups come back. Hashes are numbers, which an aggregate
+    holds once a file; the least of a text would sort all lines of a task. Should
+    two headers share one, the read of that group fails, as headers are checked.
     """
-    lines = spark.read.option("ignoreCorruptFiles", True).text(list(paths)).select(
-        "value", F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
-    )
-    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
-    groups = first.groupBy(F.regexp_replace("header", "^\ufeff", "").alias("header")).agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
+    groups = _first_lines(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("paths").collect()
     given = {_plain_path(p): p for p in paths}
     found = [[given[_plain_path(unquote(p))] for p in g.paths] for g in groups]
     known = {p for group in found for p in group}
     return found, [p for p in paths if p not in known]
 
 
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The hash of every file's first line: (path, header)."""
+    lines = spark.read.option("ignoreCorruptFiles", True).text(list(paths)).select(
+        "value", F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    header = F.xxhash64(F.ltrim("value", F.lit("\ufeff")))
+    return lines.where("start = 0").groupBy("path").agg(F.min_by(header, "place").alias("header"))
+
+
 def _plain_path(path: str) -> str:
     return re.sub("^file:/+", "/", path)
 
@@ -170,7 +177,10 @@ def _by_header(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, li
     groups, unreadable = header_groups(spark, paths)
     if not groups:
         raise ValueError("no file could be read")
-    frames = [read_raw_csv(spark, group, spark.read.option("header", True).csv(group[0]).columns, source_file=True) for group in groups]
+    columns = [spark.read.option("header", True).csv(group[0]).columns for group in groups]
+    # In the order of their headers, which gives the columns their places.
+    ordered = sorted(zip(columns, groups), key=lambda pair: ",".join(pair[0]))
+    frames = [read_raw_csv(spark, group, names, source_file=True) for names, group in ordered]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), unreadable
 
 

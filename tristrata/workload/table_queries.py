@@ -151,9 +151,10 @@ UNION ALL SELECT {_tidy("lab_result_id", "value", "unit")} FROM ({RAW_SQL['lab_r
 def bronze_land_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one entity with three different headers, some of them packed, lined up by column name."""
     folder = fresh_folder(spark, "land-drift")
-    lab = raw(spark, sf_dir, "lab_results").repartition(4)
+    lab = raw(spark, sf_dir, "lab_results")
     _export_csv(lab.select("lab_result_id", "value"), f"{folder}/raw/lab_results")
-    _export_csv(lab.select("unit", "lab_result_id"), f"{folder}/raw/lab_results_2", compression="gzip")
+    # A packed file is read by one task whatever its size.
+    _export_csv(lab.select("unit", "lab_result_id"), f"{folder}/raw/lab_results_2", compression="gzip", maxRecordsPerFile="500000")
     _export_csv(lab.select("value", "unit", "lab_result_id"), f"{folder}/raw/lab_results_3")
     land_all(spark, f"{folder}/raw", f"{folder}/bronze", DAY, ["lab_results"])
     return read_bronze(spark, f"{folder}/bronze", "lab_results").select("lab_result_id", "value", "unit")
