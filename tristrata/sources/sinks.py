@@ -12,13 +12,17 @@ from tristrata.operators.conform import LOADED_AT
 
 INGEST_DAY = "ingest_day"
 OVERWRITE_MODE = "partitionOverwriteMode"
+# A file of about this size is written in seconds.
+FILE_BYTES = 16 * 1024 * 1024
+# What Spark estimates where nothing is known is near the largest BIGINT.
+_UNKNOWN_BYTES = 2**62
 
 
 @dataclass(frozen=True)
 class WriteLayout:
     """How Parquet files are laid out. ``None`` keeps Spark's default.
 
-    ``files`` limits the number of files without a shuffle; ``rebalance`` sizes
+    ``files`` limits the number of files of a small load without a shuffle; ``rebalance`` sizes
     files with a shuffle that adaptive execution splits and merges, by day when
     the rows of one write belong to many days.
     """
@@ -50,12 +54,14 @@ class WriteLayout:
 
 
 def coalesce_files(df: DataFrame, n: int = 6) -> DataFrame:
-    """At most ``n`` output files, without a shuffle.
+    """At most ``n`` output files for a load that fits in them, without a shuffle.
 
-    It also limits the tasks of the stage that feeds the write, so use it for
-    small loads and leave large ones to ``WriteLayout(rebalance=True)``.
+    Fewer files are fewer tasks in the stage that feeds the write. A load that
+    Spark estimates at more than ``n`` files of ``FILE_BYTES`` keeps its own
+    tasks, so that no task grows with the load; one of unknown size is small.
     """
-    return df.coalesce(n)
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.coalesce(n) if estimate <= n * FILE_BYTES or estimate >= _UNKNOWN_BYTES else df
 
 
 def ensure_db(spark: SparkSession, database: str, location: str | None = None) -> None:
