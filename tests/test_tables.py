@@ -12,6 +12,7 @@ from tristrata.operators import upkeep
 from tristrata.operators.upkeep import compact, compact_day, day_files, maintain
 from tristrata.plans.contracts import SILVER
 from tristrata.plans.silver import SilverConfig, run_silver
+from tristrata.sources import coalesce_files, sinks
 from tristrata.sources import (
     Tables,
     WriteLayout,
@@ -381,3 +382,26 @@ def test_silver_run_into_a_database(spark, tmp_path):
         report = run_silver(spark, cfg, datetime(2024, 1, 7)).first()
         assert (report.status, report.error) == ("ok", None)
     assert spark.table("silver_run_test.diseases").count() == 2
+
+
+def test_files_limit_small_loads_only(spark, monkeypatch):
+    rows = spark.range(0, 100_000, 1, 6)
+    assert coalesce_files(rows, 2).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(sinks, "FILE_BYTES", 1000)
+    assert coalesce_files(rows, 2).rdd.getNumPartitions() == 6
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)], 6), "id long")
+    assert coalesce_files(unknown, 2).rdd.getNumPartitions() == 2
+
+
+def test_silver_run_casts_each_value_once(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(" 1 ", "a"), ("x", "b"), (None, None)], "doctor_id string, Name string")
+    for c in ("specialization", "phone", "email"):
+        rows = rows.withColumn(c, F.lit(None).cast("string"))
+    land(rows, str(tmp_path / "bronze"), "doctors", date(2024, 1, 1))
+    seen, kind = [], type(rows)
+    real = kind.observe
+    monkeypatch.setattr(kind, "observe", lambda self, o, *columns: (seen.extend(str(c) for c in columns), real(self, o, *columns))[1])
+    cfg = SilverConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), date(2024, 1, 1), ["doctors"])
+    (report,) = run_silver(spark, cfg, datetime(2024, 1, 1, 6)).collect()
+    assert (report.rows, report.misfits) == (3, {"doctor_id": 1})
+    assert seen and not any("cast" in text.lower() for text in seen)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -44,12 +43,3 @@ def split_rows(
         reason.alias(REASON), origin.alias(SOURCE), text.alias(RECORD), run_stamp(run_ts).cast("timestamp").alias(LOADED_AT)
     )
     return raw.where(reason.isNull()), bad
-
-
-def misfits(raw: DataFrame, contract: Contract, columns: Sequence[str] | None = None) -> dict[str, Column]:
-    """For each target column, an aggregate that counts values present in the raw row that did not fit their type."""
-    out = {}
-    for (source, target, _), value in zip(contract.specs(), conformed_columns(contract, raw.schema), strict=True):
-        if columns is None or target in columns:
-            out[target] = F.count_if(F.col(f"`{source}`").isNotNull() & value.isNull())
-    return out

@@ -10,8 +10,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.operators.conform import conform
-from tristrata.operators.quarantine import misfits, split_rows
+from tristrata.operators.conform import LOADED_AT, conformed_columns, run_stamp
+from tristrata.operators.quarantine import split_rows
 from tristrata.plans.contracts import SILVER
 from tristrata.sources.bronze import INGEST_DT, read_bronze
 from tristrata.sources.landing import BAD_ROW, SOURCE_FILE
@@ -95,10 +95,13 @@ def load_table(spark: SparkSession, cfg: SilverConfig, table: str, run_ts: datet
     if BAD_ROW in raw.columns or cfg.keyed:
         good, bad = split_rows(raw, contract, BAD_ROW, SOURCE_FILE, run_ts, cfg.keyed)
         bad_rows = _set_apart(spark, cfg, table, raw, bad)
-    counted, wrong = Observation(), misfits(good, contract)
-    # Counted where the rows pass by on their way to the table.
-    good = good.observe(counted, F.count(F.lit(1)).alias("rows"), *[c.alias(f"misfit_{t}") for t, c in wrong.items()])
-    rows = conform(good, contract, run_ts, carry=[INGEST_DT])
+    counted, wrong = Observation(), contract.target_columns
+    # Each value is cast once; rows are counted where they pass by on their way to the table.
+    given = [F.col(f"`{source}`").isNotNull().alias(f"given_{i}") for i, source in enumerate(contract.raw_columns)]
+    typed = good.select(*conformed_columns(contract, good.schema), *given, INGEST_DT)
+    misfit = [F.count_if(F.col(f"given_{i}") & F.col(t).isNull()).alias(f"misfit_{t}") for i, t in enumerate(wrong)]
+    typed = typed.observe(counted, F.count(F.lit(1)).alias("rows"), *misfit)
+    rows = typed.select(*wrong, run_stamp(run_ts).cast("timestamp").alias(LOADED_AT), INGEST_DT)
     target = silver_target(cfg.silver, table)
     if "/" not in cfg.silver:
         ensure_table(spark, target, rows.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -342,8 +343,8 @@ _RAW_COUNTS = "\nUNION ALL ".join(
 @query("silver_run", with_views(_RAW_COUNTS, *SILVER))
 def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "silver-run")
-    for name, contract in SILVER.items():
-        land(raw(spark, sf_dir, name), f"{folder}/bronze", contract.raw, DAY)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda name: land(raw(spark, sf_dir, name), f"{folder}/bronze", SILVER[name].raw, DAY), SILVER))
     cfg = SilverConfig(f"{folder}/bronze", f"{folder}/silver", ingest_dt=DAY)
     report = run_silver(spark, cfg, session_time(spark, LOAD_TIMES[0]))
     return report.select("table", "status", "rows")
@@ -360,8 +361,8 @@ def _gold_counts() -> str:
 def gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "gold-run")
     stored = Tables(spark, f"{folder}/silver")
-    for name in SILVER:
-        stored.publish(silver(spark, sf_dir, name), name)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda name: stored.publish(silver(spark, sf_dir, name), name), SILVER))
     cfg = GoldConfig(f"{folder}/silver", f"{folder}/gold", f"{folder}/snapshots")
     gold, _ = run_gold(spark, cfg, session_time(spark, LOAD_TIMES[2]))
     parts = [
