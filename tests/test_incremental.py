@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tristrata.plans import dims, facts
+from tristrata.plans import dims, facts, incremental
 from tristrata.plans.incremental import FACTS, FactStore, Upkeep, record_changes, rows_after
 from tristrata.sources import append_silver, read_history, record_snapshot
 from tristrata.sources.history_store import mark_before, run_id
@@ -191,3 +191,17 @@ def test_a_rewritten_log_is_read_whole_on_request(spark, tmp_path):
     make("y", 2).write.mode("overwrite").parquet(log_path)
     assert run(4)["opened"] == 0
     assert run(5, full=True)["opened"] == 1
+
+
+def test_many_new_rows_are_ranked_in_one_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "FEW_ROWS", 5)
+    log_path = str(tmp_path / "log")
+    store = FactStore(spark, str(tmp_path / "gold"), FACTS["fact_billing"])
+    for day in (1, 2, 3):
+        rows = [(f"f{i * day % 17}" if i % 7 else None, day, 1, f"2023-{1 + (i + day) % 5:02d}-01", float(i), "a", "b", at(day)) for i in range(30)]
+        append_silver(frame(spark, rows), log_path)
+        log = spark.read.parquet(log_path)
+        store.update(log)
+        assert same(store.read(), facts.fact_billing(log))
+    new = store._new_rows(log, at(2), None)
+    assert "Join" not in plan(store.merged(new, ["2023-01", "2023-02"], at(2), 30))

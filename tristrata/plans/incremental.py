@@ -33,6 +33,10 @@ from tristrata.sources.workspace import fresh_folder
 PERIOD = "period"
 #: Period of rows whose date is missing or can't be read.
 NO_PERIOD = "none"
+#: The state is written twice a run and read once: smaller files are worth their time.
+COMPRESSION = "zstd"
+#: Keys of so many new rows are few megabytes, which Spark sends round.
+FEW_ROWS = 200_000
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 MARKS = "mark timestamp, periods long, rows_read long, noted_at timestamp"
 
@@ -146,12 +150,13 @@ class FactStore:
             periods = periods.unionAll(self._current().select(self.upkeep.key, PERIOD).join(keys, self.upkeep.key, "left_semi").select(PERIOD))
         return sorted(r[0] for r in periods.distinct().collect())
 
-    def merged(self, new: DataFrame, periods: Sequence[str], low: datetime | None) -> DataFrame:
+    def merged(self, new: DataFrame, periods: Sequence[str], low: datetime | None, new_rows: int = 0) -> DataFrame:
         """Rows of the touched periods after the new ones came in.
 
         Rows of other keys pass by without a shuffle where the new keys are few
         enough for Spark to send them round; only rows whose key came again are
-        ranked. Rows without a key are never merged: those that an earlier,
+        ranked. With more than ``FEW_ROWS`` new rows all are ranked, in one
+        shuffle, as the joins would shuffle them too. Rows without a key are never merged: those that an earlier,
         stopped run already brought in make way for the ones read now.
         """
         if low is None:
@@ -159,6 +164,8 @@ class FactStore:
         key = self.upkeep.key
         read_anew = F.col(key).isNull() & (F.col(LOADED_AT).cast("timestamp") > F.lit(low))
         held = self._current().where(F.col(PERIOD).isin(list(periods)) & ~F.coalesce(read_anew, F.lit(False)))
+        if new_rows > FEW_ROWS:
+            return self._newest(new.unionByName(held.select(new.columns))).select(new.columns)
         keys = new.where(F.col(key).isNotNull()).select(key).distinct()
         again = held.join(keys, key, "left_semi").select(new.columns)
         return held.join(keys, key, "left_anti").select(new.columns).unionByName(self._newest(new.unionByName(again)).select(new.columns))
@@ -180,16 +187,23 @@ class FactStore:
         periods = self.touched_periods(new, low)
         # Read and replaced at once would empty the table: the new state is stored apart first.
         # Files are sized by period; adaptive execution splits a period that holds many of the rows.
-        scratch = fresh_folder(self.spark, "periods")
-        self.merged(new, periods, low).hint("rebalance", PERIOD).write.partitionBy(PERIOD).parquet(scratch)
+        # A first run reads nothing of it and stores it in place; it starts anew if it was stopped.
+        if mark is None:
+            self._delete(self._path("current"))
+            scratch = self._path("current")
+        else:
+            scratch = fresh_folder(self.spark, "periods")
+        self.merged(new, periods, low, facts[0]).hint("rebalance", PERIOD).write.option("compression", COMPRESSION).partitionBy(PERIOD).parquet(scratch)
         state = self.spark.read.parquet(scratch).withColumn(PERIOD, F.col(PERIOD).cast("string"))
         filled = {r[0] for r in state.select(PERIOD).distinct().collect()}
         made = self.upkeep.build(state, dedupe=False)
         made = made.withColumn(PERIOD, self.upkeep.period_of_fact())
         for df, name in ((made, "fact"), (state, "current")):
-            if mark is None:
+            if mark is None and name == "fact":
                 self._delete(self._path(name))  # of a first run that was stopped
-            df.write.mode("overwrite").option(OVERWRITE_MODE, "dynamic").partitionBy(PERIOD).parquet(self._path(name))
+            if scratch != self._path(name):
+                writer = df.write.mode("overwrite").option(OVERWRITE_MODE, "dynamic").option("compression", COMPRESSION)
+                writer.partitionBy(PERIOD).parquet(self._path(name))
             self._drop_periods(name, [m for m in periods if m not in filled])
         reached = facts[1] if mark is None else max(facts[1] or 0, (mark - _EPOCH) // timedelta(microseconds=1))
         line = self.spark.range(1).select(
