@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 import os
 from functools import partial
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tristrata.plans.contracts import SILVER
 from tristrata.operators import latest_per_key
 from tristrata.streaming import keep_state_on_disk, newest_stream, raw_stream, silver_stream, stream_to_silver
+from tristrata.workload.table_queries import stream_newest
 
 SCHEMA = "disease_id string, patient_id string, disease_name string, diagnosis_date string"
 
@@ -81,3 +83,22 @@ def test_the_newest_row_of_a_key_comes_out_after_the_horizon(spark, tmp_path):
     assert stored == {(1, "gout", "a"), (1, "late", "a"), (2, None, "a"), (3, "old", "z"), (None, "x", "a")}
     last = latest_per_key(found, ["disease_id", "patient_id"], ["ingested_at"])
     assert {(r.disease_id, r.disease_name) for r in last.collect()} == {(1, "late"), (2, None), (3, "old"), (None, "x")}
+
+
+def test_a_delivery_is_one_batch_however_many_files_it_has(spark, tmp_path):
+    rows = spark.range(0, 64, 1, 16).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 10:00:00' AS ts", "id % 7 AS user_id", "'x' AS event_type", "CAST(id AS DOUBLE) AS value", "'{}' AS props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    checkpoints, own = spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    known = set(glob.glob(f"{checkpoints}/**/stream-newest-*", recursive=True))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        newest = stream_newest(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", own)
+    added = {0: 0, 1: 1, 2: 2}
+    expected = {(i, i % 7, i + added[2 if i % 5 == 0 else 1 if i % 3 == 0 else 0]) for i in range(64)}
+    assert {tuple(r) for r in newest.collect()} == expected
+    (folder,) = set(glob.glob(f"{checkpoints}/**/stream-newest-*", recursive=True)) - known
+    assert len(glob.glob(f"{folder}/raw/part=1/part-*")) > 8
+    # three deliveries, the row that closes them and the batch that the watermark asks for
+    assert len(glob.glob(f"{folder}/checkpoint/commits/[0-9]*")) <= 5

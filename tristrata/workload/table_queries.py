@@ -754,13 +754,15 @@ def _vital_rows(vitals: DataFrame, added: int) -> DataFrame:
     )
 
 
-def _arrive(spark: SparkSession, rows: DataFrame, folder: str, name: str, hours: int) -> None:
-    """Files that arrived so many hours after the first ones."""
+def _arrive(spark: SparkSession, rows: DataFrame, folder: str, name: str, hours: int) -> int:
+    """Files that arrived so many hours after the first ones, and how many of them hold rows."""
     rows.write.parquet(f"{folder}/{name}")
     make = spark._jvm.org.apache.hadoop.fs.Path
     fs = make(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(make(f"{folder}/{name}")):
-        fs.setTimes(status.getPath(), 1_704_067_200_000 + hours * 3_600_000, -1)
+    paths = [status.getPath() for status in fs.listStatus(make(f"{folder}/{name}"))]
+    for path in paths:
+        fs.setTimes(path, 1_704_067_200_000 + hours * 3_600_000, -1)
+    return sum(path.getName().startswith("part-") for path in paths)
 
 
 @query(
@@ -772,18 +774,24 @@ def _arrive(spark: SparkSession, rows: DataFrame, folder: str, name: str, hours:
     ),
 )
 def stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three deliveries taken one by one, the second within the horizon of the first and the third long after it."""
+    """Three deliveries taken one by one, the second within the horizon of the first and the third long after it.
+
+    Every batch opens, searches and saves the whole state, so a batch takes as many files as the largest
+    delivery has: their number does not grow with the files.
+    """
     folder = fresh_folder(spark, "stream-newest")
     vitals = silver(spark, sf_dir, "vital_signs")
     keep_state_on_disk(spark)
-    _arrive(spark, _vital_rows(vitals, 0), f"{folder}/raw", "part=1", 0)
-    _arrive(spark, _vital_rows(vitals.where("vital_id % 3 = 0"), 1), f"{folder}/raw", "part=2", 2)
-    _arrive(spark, _vital_rows(vitals.where("vital_id % 5 = 0"), 2), f"{folder}/raw", "part=3", 90)
+    files = [
+        _arrive(spark, _vital_rows(vitals, 0), f"{folder}/raw", "part=1", 0),
+        _arrive(spark, _vital_rows(vitals.where("vital_id % 3 = 0"), 1), f"{folder}/raw", "part=2", 2),
+        _arrive(spark, _vital_rows(vitals.where("vital_id % 5 = 0"), 2), f"{folder}/raw", "part=3", 90),
+    ]
     # What arrives last closes the sessions before it; its own stays open.
     last = spark.range(1).select(F.lit(-1).alias("vital_id"), F.lit(-1).alias("patient_id"), F.lit(None).cast("string").alias("measurement_date"), F.lit(0.0).alias("temperature"))
     _arrive(spark, _vital_rows(last, 0), f"{folder}/raw", "part=4", 500)
     schema = spark.read.parquet(f"{folder}/raw").drop("part").schema
-    rows = raw_stream(spark, f"{folder}/raw", schema, files_per_batch=2, recursiveFileLookup=True)
+    rows = raw_stream(spark, f"{folder}/raw", schema, files_per_batch=max(2, *files), recursiveFileLookup=True)
     stream_to_silver(newest_stream(rows, SILVER["vital_signs"], ["vital_id"], "1 day"), f"{folder}/vital_signs", f"{folder}/checkpoint")
     stored = spark.read.parquet(f"{folder}/vital_signs")
     newest = latest_per_key(stored.where("vital_id >= 0"), ["vital_id"], ["ingested_at"])
