@@ -18,6 +18,11 @@ from tristrata.operators.quality import (
     unique,
 )
 from tristrata.plans.checks import GOLD_CHECKS
+from tristrata.plans.contracts import SILVER
+from tristrata.plans.gold import BUILDERS, tables_to_check
+from tristrata.sources import Tables
+from tristrata.workload.table_queries import dq_report
+from tristrata.workload.views import silver
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +127,42 @@ def test_key_collisions(spark):
     found = {r.key: (r.natural_keys, r.n_records) for r in key_collisions(df, "sk", ["a", "b"]).collect()}
     assert found == {1: (2, 9), 3: (2, 6)}
     assert key_collisions(df.limit(0), "sk", ["a", "b"]).count() == 0
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Tables whose keys repeat with other values, or are missing."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    day = "timestamp'2024-01-0{} 10:00:00'"
+    rows = {
+        "customer": "SELECT id AS c_custkey, concat('n', d) AS c_name, 'seg' AS c_mktsegment",
+        "supplier": "SELECT id AS s_suppkey, concat('n', d) AS s_name, 1 AS s_nationkey",
+        "part": "SELECT coalesce(id, 3) AS p_partkey",
+        "orders": "SELECT id AS o_orderkey, d AS o_custkey, t AS o_orderdate, 'p' AS o_orderpriority, 'O' AS o_orderstatus",
+        "lineitem": "SELECT id AS l_orderkey, 1 AS l_linenumber, d AS l_partkey, d AS l_suppkey, 1.0D * d AS l_extendedprice, 2.0D AS l_quantity, 0.0D AS l_tax, 'A' AS l_returnflag, 'O' AS l_linestatus, t AS l_shipdate",
+        "events": "SELECT id AS event_id, d AS user_id, t AS ts, 1.0D * d AS value",
+    }
+    for name, text in rows.items():
+        source = f"(SELECT CASE WHEN id < 20 THEN id % 15 + 1 END AS id, id AS d, CASE WHEN id < 18 THEN {day.format(1)} ELSE {day.format(2)} END AS t FROM range(24))"
+        spark.sql(f"{text} FROM {source}").write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_the_report_ranks_no_rows_of_which_it_reads_the_keys(spark, odd_tables):
+    plan = dq_report(spark, odd_tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2  # the smallest name of a disease, the smallest range of a test
+
+
+def test_the_report_on_keys_is_the_report_on_whole_tables(spark, odd_tables):
+    given = {name: silver(spark, odd_tables, name) for name in SILVER}
+    for name, log in (("patient_snapshot", "patient"), ("doctor_snapshot", "doctors")):
+        given[name] = given[log].withColumns({"valid_from": F.col("ingested_at"), "valid_to": F.lit(None).cast("timestamp")})
+    tables = Tables(spark, given=given)
+    whole = run_checks({name: build(spark, tables) for name, build in BUILDERS.items()}, GOLD_CHECKS)
+    found = {tuple(r) for r in run_checks(tables_to_check(spark, tables), GOLD_CHECKS).collect()}
+    assert found == {tuple(r) for r in whole.collect()}
+    assert {("fact_billing", "fee_id", "not_null", 4, False), ("fact_billing", "fee_id", "unique", 0, True)} <= found
+    assert {("dim_patient", "patient_nk", "not_null", 0, True), ("fact_appointments", "appointment_sk", "unique", 1, False)} <= found
+    # a check of another column reads the whole table
+    other = Check("fact_billing", "appointment_sk", "not_null")
+    assert "appointment_sk" in tables_to_check(spark, tables, [*GOLD_CHECKS, other])["fact_billing"].columns

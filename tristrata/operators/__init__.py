@@ -4,7 +4,7 @@ from tristrata.operators.calendar import calendar, calendar_covering
 from tristrata.operators.combos import conformed_combinations, smallest_value_per_key
 from tristrata.operators.conform import Contract, conform, pack_and_expand
 from tristrata.operators.history import apply_snapshot, as_of_join, version_dimension
-from tristrata.operators.latest import first_per_key, latest_per_key
+from tristrata.operators.latest import first_per_key, latest_keys, latest_per_key
 from tristrata.operators.star import measure_by_dimension, star_join
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "conform",
     "conformed_combinations",
     "first_per_key",
+    "latest_keys",
     "latest_per_key",
     "measure_by_dimension",
     "pack_and_expand",

@@ -49,3 +49,15 @@ def latest_per_key(
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c not in order_by]
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in [*order_by, *tie_break]])
+
+
+def latest_keys(df: DataFrame, keys: Sequence[str], keep_unkeyed: bool = False) -> DataFrame:
+    """The key columns of ``latest_per_key``.
+
+    Which row of a key is kept does not show in them, so nothing is ranked: a
+    hash aggregate takes the place of two sorts by all values.
+    """
+    if keep_unkeyed:
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        return latest_keys(df.where(keyed), keys).unionByName(df.where(~keyed).select(*keys))
+    return df.select(*keys).distinct()
