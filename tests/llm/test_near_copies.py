@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -48,6 +50,43 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_round_of_few_edges_takes_few_tasks(spark):
+    """Many shuffle partitions that are not merged: nearly all tasks of a round are empty, and each leaves files."""
+    few = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in few}
+    context, group = spark.sparkContext, "few edges"
+    for k, v in few.items():
+        spark.conf.set(k, v)
+    context.setJobGroup(group, group)
+    try:
+        got = {r.node: r.root for r in components(spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(13), 0)
+    told = context.statusTracker()
+    stages = {s for job in told.getJobIdsForGroup(group) for s in told.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for s in stages if (info := told.getStageInfo(s)))
+    assert 0 < tasks < 1600
+
+
+def test_counters_are_sent_compressed(spark, monkeypatch):
+    """Driver and executors keep a broadcast on disk."""
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(len(pickle.dumps(value))), broadcast(self, value))[1])
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "some other words that stand alone here")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(docs).members.collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert sent and max(sent) < 1 << 20
+    counts = np.zeros(jaccard_join.COUNTERS, np.uint16)
+    step = jaccard_join.COUNTERS // jaccard_join.COUNTER_ROWS
+    counts[[0, step, 2 * step - 1, jaccard_join.COUNTERS - 1]] = [1, 2, 65535, 4]
+    parts = [(i, zlib.compress(counts[i * step : (i + 1) * step], 1)) for i in (0, 1, jaccard_join.COUNTER_ROWS - 1)]
+    assert (jaccard_join.Counters(parts).table == counts).all()
+
+
 def test_vectors_against_brute_force(spark):
     x, label = vectors()
     rows = [(i, x[i].tolist(), int(label[i]), "x") for i in range(len(x))]

@@ -15,6 +15,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,20 @@ def rare_first(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return grams[np.lexsort((grams, counts[counter_of(grams)]))]
 
 
+@dataclass
+class Counters:
+    """The table of counters in compressed parts (part, counts), which every Python worker expands once."""
+
+    parts: list[tuple[int, bytes]]
+
+    @cached_property
+    def table(self) -> np.ndarray:
+        counts, step = np.zeros(COUNTERS, np.uint16), COUNTERS // COUNTER_ROWS
+        for part, raw in self.parts:
+            counts[part * step : (part + 1) * step] = np.frombuffer(zlib.decompress(raw), "<u2")
+        return counts
+
+
 def least_overlap(percent: int, x, y):
     """The smallest overlap with 100 * overlap >= percent * union."""
     return -(-percent * (x + y) // (100 + percent))
@@ -179,14 +194,13 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
         done = np.minimum(total, np.iinfo(np.uint16).max).astype("<u2")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(done, 1)], pa.binary())], ["part", "counts"])
 
-    # One row per part of the counters: 32 MB in all before compression, whatever the input.
+    # One row per part of the counters: 32 MB in all before compression, whatever the input. They are sent on as they are:
+    # the driver and every executor keep a copy on disk.
     summed = signed.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(add, "part int, counts binary").collect()
-    counts = np.zeros(COUNTERS, np.uint16)
-    for r in summed:
-        counts[r.part * (COUNTERS // COUNTER_ROWS) : (r.part + 1) * (COUNTERS // COUNTER_ROWS)] = np.frombuffer(zlib.decompress(r.counts), "<u2")
-    counts = spark.sparkContext.broadcast(counts)
+    counts = spark.sparkContext.broadcast(Counters([(r.part, bytes(r.counts)) for r in summed]))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = counts.value.table
         seen: set[int] = set()  # of this task: a copy has the prefix of the first
         for batch in batches:
             grams_out, sigs, sizes, places = [], [], [], []
@@ -196,7 +210,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
                     continue
                 if len(seen) < _SEEN:
                     seen.add(sig)
-                first = rare_first(grams, counts.value)[: size + percent * size // -100 + 1]
+                first = rare_first(grams, table)[: size + percent * size // -100 + 1]
                 grams_out.append(first)
                 sigs.append(np.full(len(first), sig, np.int64))
                 sizes.append(np.full(len(first), size, np.int32))
@@ -274,14 +288,16 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    def placed_in(links: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    def placed_in(root: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
         """``rows`` with the component of each class column."""
-        root = components(links)
         for c in columns:
             rows = rows.join(root.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left")
             rows = rows.withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
         return rows
 
+    def hung(root: DataFrame) -> DataFrame:
+        return root.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
     def all_links() -> DataFrame:
         """Every similar pair of classes. A pair comes out at its first common n-gram: where both have the same one before, it came out there or is dissimilar."""
         rows = found.select("gram", "sig", "n", "place", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")).alias("before"))
@@ -298,8 +314,11 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
         near = left.join(right, [*keys, (F.col("x_sig") < F.col("y_sig")) & new & promising("x_n", "x_place", "y_n", "y_place") & close("x", "y")])
         return written(verified(near.select(F.col("x_sig").alias("a"), F.col("y_sig").alias("b")).distinct()), "links")
 
-    def group_links() -> DataFrame:
-        """Links between different components, as they are found: enough for the groups."""
+    def group_links() -> tuple[DataFrame, DataFrame]:
+        """Links between different components, as they are found: enough for the groups. And edges with the same components.
+
+        Components that are known stand for the links they come from: each member hangs on the smallest one.
+        """
         to_leader = found.where(F.col("sig") != F.col("l_sig")).where(promising("n", "place", "l_n", "l_place"))
         tried = written(to_leader.select(*pair("sig", "l_sig")).distinct(), "leader-pairs")
         links = written(verified(tried), "leader-links")
@@ -307,19 +326,22 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
         # A second round where an n-gram still has several components: other leaders,
         # a different one for each eighth of the n-grams, so that a group whose members
         # are not all similar to one leader hangs together through several.
-        rows = placed_in(links, found.select("gram", "sig", "n", "place"), "sig")
+        root = components(links)
+        rows = placed_in(root, found.select("gram", "sig", "n", "place"), "sig")
         rows = rows.withColumn("mixed", F.min("sig_root").over(by_gram) != F.max("sig_root").over(by_gram)).where("mixed")
         second = F.min(F.struct(F.xxhash64("sig", F.pmod("gram", F.lit(8))).alias("h"), "sig", "n", "place", "sig_root")).over(by_gram)
         rows = written(rows.withColumn("lead", second).select("gram", "sig", "n", "place", *(F.col(f"lead.{c}").alias(f"l_{c}") for c in ("sig", "n", "place", "sig_root")), "sig_root"), "mixed-prefixes")
         again = rows.where(F.col("sig_root") != F.col("l_sig_root")).where(promising("n", "place", "l_n", "l_place")).select(*pair("sig", "l_sig")).distinct()
         again = written(again.join(tried, ["a", "b"], "left_anti"), "second-pairs")
-        links = written(links.union(verified(again)), "second-links")
+        second_links = written(verified(again), "second-links")
+        links = links.union(second_links)
         tried = tried.union(again)
 
         # What is still apart: pairs of one n-gram whose components differ, at least one outside the leader's.
         # The parity filter works inside this join, so that only pairs that are close come out of it. Where both
         # have the same n-gram before this one, the pair comes out there, or some filter has proved it dissimilar.
-        placed = placed_in(links, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
+        root = components(hung(root).union(second_links))
+        placed = placed_in(root, rows.select("gram", "sig", "n", "place", "l_sig"), "sig", "l_sig")
         placed = placed.withColumn("out", F.col("sig_root") != F.col("l_sig_root")).withColumn("any_out", F.max("out").over(by_gram)).where("any_out").drop("any_out", "l_sig_root")
         placed = placed.withColumn("before", F.lag("gram").over(Window.partitionBy("sig").orderBy("place")))
         placed = written(placed.join(classes.select("sig", "bits"), "sig"), "apart-prefixes")
@@ -335,14 +357,18 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, groups_only: bo
             & close("x", "y"),
         )
         rest = apart.select(*pair("x_sig", "y_sig")).distinct().join(tried, ["a", "b"], "left_anti")
-        return links.union(written(verified(rest), "other-links"))
+        other_links = written(verified(rest), "other-links")
+        return links.union(other_links), hung(root).union(other_links)
 
-    links = group_links() if groups_only else all_links()
+    if groups_only:
+        links, edges = group_links()
+    else:
+        links = edges = all_links()
 
     # From classes back to documents. A document with several texts joins their components.
     texts_of = members.where("n > 0").select(F.col("sig").alias("a"), F.min("sig").over(Window.partitionBy("doc_id")).alias("b"))
     node = texts_of.where("a != b")
-    root = components(links.union(node))
+    root = components(edges.union(node))
     placed = members.join(root.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     placed = placed.join(least, "root", "left")
